@@ -103,15 +103,13 @@ def add_top_domain(
     if isinstance(suffixes, SuffixLists):
         return df.withColumn(out, top_domain(domain, suffixes))
     p = _labels(domain)
+    parts = {f"_{part}": F.expr(p[part]) for part in ("l1", "l2", "last2")}
+    joined = df.withColumns(parts)
     lookups = {"_in1": ("in", "l1"), "_cc1": ("country", "l1"), "_in2": ("in", "l2"), "_ar2": ("area", "last2")}
-    joined = df
     for flag, (kind, part) in lookups.items():
-        keys = (
-            suffixes.where(F.col("kind") == kind)
-            .select(F.col("value").alias(f"{flag}_v")).distinct()
-        )
-        joined = joined.join(keys, F.expr(p[part]) == F.col(f"{flag}_v"), "left")
+        keys = suffixes.where(F.col("kind") == kind).select(F.col("value").alias(flag)).distinct()
+        joined = joined.join(keys, F.col(f"_{part}") == F.col(flag), "left")
     expr = _top_domain_sql(
-        domain, "_in1_v is not null", "_cc1_v is not null", "(_in2_v is not null or _ar2_v is not null)"
+        domain, "_in1 is not null", "_cc1 is not null", "(_in2 is not null or _ar2 is not null)"
     )
-    return joined.withColumn(out, F.expr(expr)).drop(*[f"{f}_v" for f in lookups])
+    return joined.withColumn(out, F.expr(expr)).drop(*lookups, *parts)

@@ -11,18 +11,15 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hitledger.functions.text import to_number
-
 TEXT_FORMAT = "%Y-%m-%d %H:%M:%S"
 UNREADABLE = "0"
-# First and last second of the years 0001 to 9999.
-_FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
+# At most eleven digits: seconds up to the year 5138.
+_SECONDS = r"^[+-]?0*\d{1,11}\z"
 
 
 def epoch_text(seconds: Column, zone: str | None = None) -> Column:
-    """Unix seconds (text) -> time text in ``zone`` (default: the session's)."""
-    number = to_number(seconds, "bigint")
-    number = F.when(number.between(_FIRST_SECOND, _LAST_SECOND), number)
+    """Unix seconds (text) -> time text in ``zone`` (default: the session's); null if unreadable."""
+    number = F.when(seconds.rlike(_SECONDS), seconds.try_cast("bigint"))
     if zone is None:
         return F.from_unixtime(number)
     utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=number)

@@ -61,8 +61,8 @@ def _pack_group(group: pd.DataFrame) -> pd.DataFrame:
     bins = pack(list(zip(group["file_size"].tolist(), group["file_path"])), int(group["bin_limit"].iloc[0]))
     chunk = group["chunk"].iloc[0]
     target = {name: f"{chunk}-{i}" for i, b in enumerate(bins) if len(b) > 1 for name in b}
-    kept = group[group["file_path"].isin(target.keys())]
-    return kept.assign(target=kept["file_path"].map(target), outputs=1)[_PLAN_COLUMNS]
+    kept = group[group["file_path"].isin(target.keys())].astype(object)
+    return kept.assign(target=kept["file_path"].map(target).astype(object), outputs=1)[_PLAN_COLUMNS]
 
 
 def _bin_limit(default_mb: float, house_mb: Mapping[str, float]) -> Column:

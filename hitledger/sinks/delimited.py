@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 def write_delimited(
     rows: DataFrame, path: str, sep: str = ",", files: int | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Overwrite ``path``; returns one row (path, row_count), counted during the write."""
+    """Overwrite ``path``; returns one row (path, row_count), counted during the write.
+
+    Rows are counted in the writing stage, after any shuffle: there a task that
+    has to be run again is still counted once.
+    """
     seen = Observation("written")
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("row_count"))
     if files is not None:
-        counted = counted.repartition(files)
+        rows = rows.repartition(files)
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("row_count"))
     writer = counted.write.mode("overwrite").option("sep", sep).option("emptyValue", "")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)

@@ -87,8 +87,8 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = (
         F.when(kind == 1, F.regexp_replace(value, r"\|[^|]*$", ""))                 # nine fields
         .when(kind == 2, F.concat(value, F.lit("|extra")))                         # eleven fields
-        .when(kind == 3, F.regexp_replace(value, "[^|]*$", ""))                     # no time
-        .when(kind == 4, F.regexp_replace(value, "[^|]*$", "abc"))                  # unreadable time
+        .when(kind == 3, F.regexp_replace(value, r"\|[^|]*$", "|"))                 # no time
+        .when(kind == 4, F.regexp_replace(value, r"\|[^|]*$", "|abc"))              # unreadable time
         .when(kind == 5, F.concat(F.lit("x"), value))                              # unreadable house
         .when(kind == 6, F.concat(F.lit(" "), value))                              # blank before the house
         .when(kind == 7, F.regexp_replace(value, r"^(([^|]*\|){6})([^|]*)", "$1 \t$3 "))  # blanks around the domain

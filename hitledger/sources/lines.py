@@ -22,28 +22,6 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(list(paths))
 
 
-def _tolerant_fields(value: Column, zone: str | None) -> list[Column]:
-    # The last of at most ten fields keeps any further pipes.
-    field = F.split(value, r"\|", N_FIELDS)
-    complete = F.size(field) == N_FIELDS
-
-    def pick(name: str) -> Column:
-        return F.get(field, F.lit(RAW_FIELDS.index(name)))
-
-    acctime = epoch_text(pick("acctime"), zone)
-    house = F.coalesce(to_number(pick("hid"), "int"), F.lit(0))
-    fields = [F.when(complete, house).otherwise(F.lit(-1)).alias("hid")]
-    for name in RAW_FIELDS[1:-1]:
-        text = trim_blanks(pick(name)) if name == "domain" else pick(name)
-        spare = value if name == "srcip" else F.lit(REJECT)
-        fields.append(F.when(complete, text).otherwise(spare).alias(name))
-    times = {"acctime": acctime, "d": day_of(acctime), "h": hour_of(acctime), "m5": five_minutes_of(acctime)}
-    for name, text in times.items():
-        readable = F.coalesce(text, F.lit(UNREADABLE))
-        fields.append(F.when(complete, readable).otherwise(F.lit(REJECT)).alias(name))
-    return fields
-
-
 def parse_tolerant(lines: DataFrame, *keep: str, zone: str | None = None) -> DataFrame:
     """Every line becomes an ``access_log`` row.
 
@@ -51,8 +29,37 @@ def parse_tolerant(lines: DataFrame, *keep: str, zone: str | None = None) -> Dat
     itself in ``srcip``, ``"-1"`` elsewhere. An unreadable house id is 0, an
     unreadable time ``"0"`` in all four time columns. Columns named in ``keep``
     are carried along.
+
     """
-    return lines.select(*keep, *_tolerant_fields(F.col("value"), zone))
+    # The last of at most ten fields keeps any further pipes.
+    split = lines.select(*keep, "value", F.split("value", r"\|", N_FIELDS).alias("field"))
+
+    def pick(name: str) -> Column:
+        return F.get("field", F.lit(RAW_FIELDS.index(name)))
+
+    timed = split.withColumns({
+        "complete": F.size("field") == N_FIELDS,
+        "second": epoch_text(pick("acctime"), zone),
+    })
+    # A generated row is computed once. Without it the optimizer copies split and
+    # time conversion into a later filter and into every column that uses them.
+    once = F.explode(F.array(F.struct("value", "field", "complete", "second")))
+    timed = timed.select(*keep, once.alias("line")).select(*keep, "line.*")
+
+    complete = F.col("complete")
+    house = F.coalesce(to_number(pick("hid"), "int"), F.lit(0))
+    fields = [F.when(complete, house).otherwise(F.lit(-1)).alias("hid")]
+    for name in RAW_FIELDS[1:-1]:
+        text = trim_blanks(pick(name)) if name == "domain" else pick(name)
+        spare = F.col("value") if name == "srcip" else F.lit(REJECT)
+        fields.append(F.when(complete, text).otherwise(spare).alias(name))
+    second = F.col("second")
+    times = {"acctime": second, "d": day_of(second), "h": hour_of(second), "m5": five_minutes_of(second)}
+    fields += [
+        F.when(complete, F.coalesce(text, F.lit(UNREADABLE))).otherwise(F.lit(REJECT)).alias(name)
+        for name, text in times.items()
+    ]
+    return timed.select(*keep, *fields)
 
 
 def rejects(parsed: DataFrame) -> DataFrame:

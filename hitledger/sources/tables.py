@@ -78,7 +78,7 @@ def read_day_domains(spark: SparkSession, root: str, day: str | datetime | None
         return spark.createDataFrame([], "domain string, times bigint, topdomain string")
     field = F.split(F.rtrim("value", F.lit("\t")), "\t")
     return (
-        spark.read.text(found).select(field.alias("field")).where(F.size("field") == 7)
+        spark.read.option("basePath", f"{root}/domain").text(found).select(field.alias("field")).where(F.size("field") == 7)
         .select(
             F.col("field")[1].alias("domain"),
             F.col("field")[4].try_cast("bigint").alias("times"),

@@ -309,7 +309,7 @@ def domain_count_day(spark, sf_dir):
     """From day statistics written as TSV and read back."""
     root = stage_dir(spark, "day")
     write_day_tsv(stat_day_domain(spark, sf_dir), f"{root}/domain", "domain")
-    return lookup.count_in_stats(read_day_domains(spark, root), "example.net", by_top_domain=True, **ASKED)
+    return lookup.count_in_stats(read_day_domains(spark, root), "site.cn", by_top_domain=True, **ASKED)
 
 
 @query

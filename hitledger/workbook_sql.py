@@ -71,11 +71,11 @@ _LEGAL_HOUR_DOMAIN = (
 )
 
 
-def _top_day(where: str) -> str:
+def _top_day(hour_domains: str, where: str) -> str:
+    # The address of a domain's hour row is the largest one seen in that hour.
     return (
-        f"select {_HID}, d as day, topdomain, destip, {_MEASURES}"
-        f" from (select *, {_TOP} as topdomain from log) where topdomain <> '-1' and {where}"
-        " group by all"
+        "select hid, d as day, topdomain, destip, min(firsttime) as firsttime, max(activetime) as activetime,"
+        f" cast(sum(times) as bigint) as times from ({hour_domains}) where {where} group by all"
     )
 
 
@@ -104,8 +104,8 @@ _LINES = r"""
   select event_id, good, true_time, case event_id % 16
     when 1 then regexp_replace(good, '\|[^|]*$', '')
     when 2 then concat(good, '|extra')
-    when 3 then regexp_replace(good, '[^|]*$', '')
-    when 4 then regexp_replace(good, '[^|]*$', 'abc')
+    when 3 then regexp_replace(good, '\|[^|]*$', '|')
+    when 4 then regexp_replace(good, '\|[^|]*$', '|abc')
     when 5 then concat('x', good)
     when 6 then concat(' ', good)
     when 7 then regexp_replace(good, '^(([^|]*\|){6})([^|]*)', concat('\1 ', chr(9), '\3 '))
@@ -226,11 +226,12 @@ SQL: dict[str, str] = {
         f"select *, {_TOP} as topdomain from ("
         + _day("domain", ", max(destip) as destip", f"{_CLEAN} and {_DOMESTIC} and {_TOP} <> ''") + ")"
     ),
-    "stat_day_topdomain": _log(_top_day(f"topdomain <> '' and {_DOMESTIC}")),
+    "stat_day_topdomain": _log(_top_day(_HOUR_DOMAIN, "topdomain <> '' and isforeign = 0")),
     "stat_day_legal_domain": _log(
         f"select *, {_TOP} as topdomain from ("
         + _day("domain", ", max(destip) as destip", f"{_CLEAN} and {_LEGAL}") + ")"
     ),
+    "stat_day_legal_topdomain": _log(_top_day(_LEGAL_HOUR_DOMAIN, "true")),
     "stat_day_illegal": _log(f"select distinct {_HID}, d as day, domain, destip from log where {_CLEAN} and not {_LEGAL}"),
     "search_time_range": _log(_search("true")),
     "search_time_ip_range": _log(_search(
@@ -267,7 +268,7 @@ SQL: dict[str, str] = {
     "domain_count": _log(_STATS_ANSWER),
     "topdomain_count": _log(_answer("case when count(*) > 0 then count(*) end", f"log where {_TOP} = 'example.com'", "example.com")),
     "domain_count_day": _log(_answer(
-        "case when count(*) > 0 then count(*) end", f"log where {_TOP} = 'example.net'", "example.net")),
+        "case when count(*) > 0 then count(*) end", f"log where {_TOP} = 'site.cn'", "site.cn")),
     "domain_count_lines": _raw(_answer(
         "count(*)", f"trimmed where len(f) = 10 and {_top('f[7]')} = 'example.org'", "example.org")),
     "domain_count_hybrid": _raw(_HYBRID),
@@ -328,4 +329,3 @@ SQL: dict[str, str] = {
         ) + ") group by all"
     ),
 }
-SQL["stat_day_legal_topdomain"] = _log(_top_day(_LEGAL))
