@@ -7,4 +7,4 @@ def bag(df, *columns):
 
 
 def plan_of(df):
-    return df._jdf.queryExecution().toString()
+    return df._jdf.queryExecution().executedPlan().toString()
