@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.functions.net import ip_to_long, ip_value
+from hitledger.functions.net import ip_to_long, ip_to_long_sql, ip_value
 from hitledger.functions.times import bucket_key, bucket_of, clip_lookback, parse_param, text_of
 from hitledger.functions.urls import decode, encode_literal
 from hitledger.schema import QUERY_COLUMNS
@@ -79,9 +79,12 @@ def predicates(
     if _given(url):
         terms.append(_url_predicate(url, url_mode))
     for name, low, high in (("srcip", srcip_begin, srcip_end), ("destip", destip_begin, destip_end)):
-        if _given(low):
+        if _given(low) and _given(high):
+            # "between" converts the address once for both bounds.
+            terms.append(F.expr(f"{ip_to_long_sql(name)} between {ip_value(low)} and {ip_value(high)}"))
+        elif _given(low):
             terms.append(ip_to_long(name) >= ip_value(low))
-        if _given(high):
+        elif _given(high):
             terms.append(ip_to_long(name) <= ip_value(high))
     return reduce(and_, terms, F.lit(True))
 

@@ -24,46 +24,40 @@ def house_ips(spark: SparkSession) -> DataFrame:
     return spark.range(HOUSE_IP_COUNT).select(F.concat(F.lit("203.0.113."), F.col("id").cast("string")).alias("hip"))
 
 
-def _page_side(pages: DataFrame) -> DataFrame:
-    kind = F.col("page_id") % 8
-    host = F.regexp_extract("url", "^https?://([^/]+)", 1)
-    domain = (
-        F.when(kind == 1, F.concat(host, F.lit(".cn")))
-        .when(kind == 2, F.concat(host, F.lit(".js.cn")))
-        .when(kind == 3, F.concat(host, F.lit(":8080")))
-        .when(kind == 4, F.concat(F.lit("203.0.113."), (F.col("page_id") % 250).cast("string")))
-        .when(kind == 5, "bad host!")
-        .when(kind == 6, F.concat(host, F.lit(".ru")))
-        .when(kind == 7, "site.cn")
-        .otherwise(host)
-    )
-    return pages.select("page_id", domain.alias("domain"), encode(F.col("url")).alias("url"))
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+PAGES = "page_id bigint, url string"
+
+_HOST = "regexp_extract(url, '^https?://([^/]+)', 1)"
+_DOMAIN = f"""case page_id % 8
+    when 1 then concat({_HOST}, '.cn') when 2 then concat({_HOST}, '.js.cn') when 3 then concat({_HOST}, ':8080')
+    when 4 then concat('203.0.113.', page_id % 250) when 5 then 'bad host!' when 6 then concat({_HOST}, '.ru')
+    when 7 then 'site.cn' else {_HOST} end"""
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``access_log`` rows with their ``event_id`` and unix ``second``."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    pages = spark.read.schema(PAGES).parquet(f"{sf_dir}/pages.parquet")
     n_pages = pages.agg(F.count(F.lit(1))).scalar()
-    event, user = F.col("event_id"), F.col("user_id")
-    codes = {"view": "1", "click": "2", "purchase": "3", "signup": "4"}
-    proctype = F.lit("5")
-    for name, code in codes.items():
-        proctype = F.when(F.col("event_type") == name, code).otherwise(proctype)
-    sides = events.select(
+    # Time text is generated, so that it is made once and not again in every filter.
+    once = F.explode(F.array(F.col("ts").cast("string").substr(1, 19)))
+    event_side = events.select("*", (F.col("event_id") % n_pages).alias("page_id"), once.alias("acctime")).selectExpr(
         "event_id",
-        (event % n_pages).alias("page_id"),
-        (1001 + user % 4).cast("int").alias("hid"),
-        F.concat(F.lit("10.0."), F.expr("user_id div 256").cast("string"), F.lit("."), (user % 256).cast("string")).alias("srcip"),
-        F.concat(F.lit("203.0.113."), (event % 32).cast("string")).alias("destip"),
-        proctype.alias("proctype"),
-        (1024 + event % 50000).cast("string").alias("srcport"),
-        F.when(event % 3 == 0, "80").when(event % 3 == 1, "443").otherwise("8080").alias("destport"),
-        F.floor("value").cast("bigint").cast("string").alias("duration"),
-        F.col("ts").cast("string").substr(1, 19).alias("acctime"),
-        F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("second"),
+        "page_id",
+        "acctime",
+        "cast(1001 + user_id % 4 as int) as hid",
+        "concat('10.0.', user_id div 256, '.', user_id % 256) as srcip",
+        "concat('203.0.113.', event_id % 32) as destip",
+        "case event_type when 'view' then '1' when 'click' then '2' when 'purchase' then '3'"
+        " when 'signup' then '4' else '5' end as proctype",
+        "cast(1024 + event_id % 50000 as string) as srcport",
+        "case event_id % 3 when 0 then '80' when 1 then '443' else '8080' end as destport",
+        "cast(cast(floor(value) as bigint) as string) as duration",
+        "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) as second",
     )
-    return sides.join(_page_side(pages), "page_id").drop("page_id")
+    page_side = pages.select("page_id", F.expr(_DOMAIN).alias("domain"), encode(F.col("url")).alias("url"))
+    # Pages are few beside events and unique by id: hashing them spares sorting the events.
+    return event_side.join(page_side.hint("shuffle_hash"), "page_id").drop("page_id")
 
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,16 +17,16 @@ from hitledger.sources import demo, dimensions
 from hitledger.sources.tables import read_day_domains, read_hour_stats
 from hitledger.workspace import stage_dir
 
-BEGIN, END = "2024-01-10 10:00:00", "2024-01-10 13:59:59"
+BEGIN, END = "2024-01-10 00:00:00", "2024-01-10 23:59:59"
 
 
 @pytest.fixture(scope="module")
 def hours(spark, log):
-    """Four hours of the log, and the hour statistics of the middle two."""
+    """A day of the log and its hour statistics."""
     root = stage_dir(spark, "jobs")
     rows = log.where(F.col("acctime").between(BEGIN, END)).withColumn("batch", F.lit("b1"))
     publish(rows, f"{root}/log", by=["hid", "d", "h"])
-    run_hour_stats(spark, f"{root}/log", f"{root}/hour", "2024011010", "2024011013", demo.SUFFIXES, demo.FOREIGN)
+    run_hour_stats(spark, f"{root}/log", f"{root}/hour", "2024011000", "2024011023", demo.SUFFIXES, demo.FOREIGN)
     return root, rows
 
 
@@ -69,7 +69,7 @@ def test_day_job(spark, hours):
 def test_legal_jobs(spark, hours):
     root, rows = hours
     ips = demo.house_ips(spark)
-    run_legal_hour_stats(spark, f"{root}/log", f"{root}/legal", "2024011010", "2024011013", demo.SUFFIXES, ips)
+    run_legal_hour_stats(spark, f"{root}/log", f"{root}/legal", "2024011000", "2024011023", demo.SUFFIXES, ips)
     assert bag(read_hour_stats(spark, f"{root}/legal", "illegLog")) == bag(legality.hour_illegal(rows, ips))
     want = legality.legal_hour_domainip(rollup.hits(rows), ips, demo.SUFFIXES)
     assert bag(read_hour_stats(spark, f"{root}/legal", "domainip")) == bag(want)
@@ -99,7 +99,7 @@ def test_domain_count_job(spark, hours, tmp_path):
     run_day_stats(spark, f"{root}/hour", f"{root}/day2", "20240110")
     assert ask(granularity="day", stats=f"{root}/day2") == {"stats": n, "lines": 1}
     log = spark.read.option("lineSep", "\r\n").text(f"{tmp_path}/answers")
-    assert log.count() == 9
+    assert log.count() == 10
     assert log.where(F.col("value") == f"2024-01-10 13:05:00\tsite.cn\t2024-01-10 13:05:00\t{n}").count() == 4
 
 
