@@ -11,7 +11,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,12 +57,15 @@ def pack(files: list[tuple[int, str]], limit: int) -> list[list[str]]:
     return bins
 
 
-def _pack_group(group: pd.DataFrame) -> pd.DataFrame:
-    bins = pack(list(zip(group["file_size"].tolist(), group["file_path"])), int(group["bin_limit"].iloc[0]))
-    chunk = group["chunk"].iloc[0]
+def _pack_group(group: pa.Table) -> pa.Table:
+    rows = group.to_pydict()
+    bins = pack(list(zip(rows["file_size"], rows["file_path"])), rows["bin_limit"][0])
+    chunk = rows["chunk"][0]
     target = {name: f"{chunk}-{i}" for i, b in enumerate(bins) if len(b) > 1 for name in b}
-    kept = group[group["file_path"].isin(target.keys())].astype(object)
-    return kept.assign(target=kept["file_path"].map(target).astype(object), outputs=1)[_PLAN_COLUMNS]
+    targets = pa.array([target.get(name) for name in rows["file_path"]], pa.string())
+    planned = group.drop_columns(["chunk", "bin_limit"]).append_column("target", targets)
+    planned = planned.filter(targets.is_valid())
+    return planned.append_column("outputs", pa.array([1] * len(planned), pa.int32()))
 
 
 def _bin_limit(default_mb: float, house_mb: Mapping[str, float]) -> Column:
@@ -95,7 +98,7 @@ def plan_bin_packing(
     return (
         chunked.withColumn("bin_limit", _bin_limit(merged_mb, house_merged_mb))
         .select(*PARTITION_COLUMNS, "file_path", "file_size", "chunk", "bin_limit")
-        .groupBy(*PARTITION_COLUMNS, "chunk").applyInPandas(_pack_group, _PLAN_SCHEMA)
+        .groupBy(*PARTITION_COLUMNS, "chunk").applyInArrow(_pack_group, _PLAN_SCHEMA)
     )
 
 

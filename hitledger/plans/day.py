@@ -39,6 +39,6 @@ def run_day_stats(
     """Write every day table; returns their (path, row_count) rows."""
     written = {}
     for table, (source, merge) in merges.items():
-        stats = merge(read_hour_stats(spark, hour_root, source, day, hids))
+        stats = merge(read_hour_stats(spark, hour_root, source, day, hids=hids))
         written[table] = write_day_tsv(stats, f"{out_root}/{table}", table)
     return written

@@ -10,12 +10,14 @@ from collections.abc import Iterable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hitledger.functions.domains import SuffixLists
 from hitledger.functions.times import parse_param
 from hitledger.operators import legality, rollup
 from hitledger.sinks.stat_tables import write_hour_table, write_hour_tsv
 from hitledger.sources.tables import read_access_log, read_hour_stats
+from hitledger.workspace import Files, stage_dir
 
 
 def _hours(spark: SparkSession, root: str, begin, end, hids) -> tuple[DataFrame, datetime, datetime]:
@@ -24,17 +26,6 @@ def _hours(spark: SparkSession, root: str, begin, end, hids) -> tuple[DataFrame,
     return read_access_log(spark, root, begin, end, hids), begin, end
 
 
-def _staged(spark: SparkSession, out: str, table: str, begin: datetime, end: datetime, hids) -> DataFrame:
-    """Stored rows of the hours just written."""
-    rows = read_hour_stats(spark, out, table)
-    hour = rollup.F.concat("d", "h")
-    in_hours = rollup.F.col("d").between(f"{begin:%y%m%d}", f"{end:%y%m%d}") & hour.between(
-        f"{begin:%y%m%d%H}", f"{end:%y%m%d%H}"
-    )
-    rows = rows.where(in_hours)
-    return rollup.stored(rows.where(rows["hid"].isin([str(h) for h in hids])) if hids else rows)
-
-
 def run_hour_stats(
     spark: SparkSession,
     log_root: str,
@@ -48,10 +39,10 @@ def run_hour_stats(
     """``ipportdomain`` -> ``ipport`` and ``domainip`` -> ``domain`` / ``foreigndomain``."""
     log, begin, end = _hours(spark, log_root, begin, end, hids)
     write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{out_root}/ipportdomain")
-    base = _staged(spark, out_root, "ipportdomain", begin, end, hids)
+    base = rollup.stored(read_hour_stats(spark, out_root, "ipportdomain", begin, end, hids))
     write_hour_table(rollup.hour_ipport(base), f"{out_root}/ipport")
     write_hour_table(rollup.hour_domainip(base, suffixes), f"{out_root}/domainip")
-    per_ip = _staged(spark, out_root, "domainip", begin, end, hids)
+    per_ip = rollup.stored(read_hour_stats(spark, out_root, "domainip", begin, end, hids))
     domestic, abroad = rollup.split_foreign(rollup.hour_domain(per_ip, suffixes, foreign))
     write_hour_table(domestic, f"{out_root}/domain")
     write_hour_tsv(abroad, f"{out_root}/foreigndomain")
@@ -67,12 +58,18 @@ def run_legal_hour_stats(
     house_ips: DataFrame,
     hids: Sequence[int] | None = None,
 ) -> None:
-    """The variant with house IPs: illegal accesses, and statistics of legal ones."""
+    """The variant with house IPs: illegal accesses, and statistics of legal ones.
+
+    The log is read once, into a staged table per IP, port and domain.
+    """
     log, begin, end = _hours(spark, log_root, begin, end, hids)
-    hit_rows = rollup.hits(log)
-    write_hour_table(legality.hour_illegal(log, house_ips), f"{out_root}/illegLog")
-    write_hour_table(legality.legal_hour_ipport(hit_rows, house_ips), f"{out_root}/ipport")
-    write_hour_table(legality.legal_hour_domainip(hit_rows, house_ips, suffixes), f"{out_root}/domainip")
-    per_ip = _staged(spark, out_root, "domainip", begin, end, hids)
-    domains = legality.legal_hour_domain(per_ip, suffixes).withColumn("isforeign", rollup.F.lit(0))
+    stage = stage_dir(spark, "legal-hours")
+    write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{stage}/ipportdomain")
+    base = rollup.stored(read_hour_stats(spark, stage, "ipportdomain"))
+    write_hour_table(legality.hour_illegal(base, house_ips), f"{out_root}/illegLog")
+    write_hour_table(legality.legal_hour_ipport(base, house_ips), f"{out_root}/ipport")
+    write_hour_table(legality.legal_hour_domainip(base, house_ips, suffixes), f"{out_root}/domainip")
+    Files(spark, stage).remove(stage)
+    per_ip = rollup.stored(read_hour_stats(spark, out_root, "domainip", begin, end, hids))
+    domains = legality.legal_hour_domain(per_ip, suffixes).withColumn("isforeign", F.lit(0))
     write_hour_table(domains, f"{out_root}/domain")

@@ -59,12 +59,23 @@ def read_hour_stats(
     spark: SparkSession,
     root: str,
     table: str,
-    day: str | datetime | None = None,
+    begin: str | datetime | None = None,
+    end: str | datetime | None = None,
     hids: Sequence[int | str] | None = None,
 ) -> DataFrame:
-    """One hour table, of one day or whole."""
-    day = None if day is None else parse_param(day)
-    return _scan(spark, f"{root}/{table}", _glob(day, day, hids), HOUR_TABLES[table])
+    """Hours of one hour table that touch [begin, end]; ``begin`` alone means its day."""
+    if begin is not None:
+        begin = parse_param(begin)
+        if end is None:
+            begin, end = begin.replace(hour=0), begin.replace(hour=23)
+        end = parse_param(end)
+    stats = _scan(spark, f"{root}/{table}", _glob(begin, end, hids), HOUR_TABLES[table])
+    if begin is None:
+        return stats
+    return stats.where(
+        F.col("d").between(f"{begin:%y%m%d}", f"{end:%y%m%d}")
+        & F.concat("d", "h").between(f"{begin:%y%m%d%H}", f"{end:%y%m%d%H}")
+    )
 
 
 def read_day_domains(spark: SparkSession, root: str, day: str | datetime | None = None) -> DataFrame:

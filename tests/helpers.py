@@ -1,3 +1,5 @@
+import contextlib
+import io
 from collections import Counter
 
 
@@ -8,3 +10,10 @@ def bag(df, *columns):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def explained(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()

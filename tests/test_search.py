@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 from conftest import SF
-from helpers import bag
+from helpers import bag, explained
 from pyspark.sql import functions as F
 
 from hitledger.functions.net import ip_value
@@ -28,7 +28,7 @@ def root(spark, log):
 def test_buckets_are_pruned(spark, root):
     found = tables.read_access_log(spark, root, "2024-01-10 06:02:00", "2024-01-10 09:58:00")
     hits = search.search(found, "2024-01-10 06:02:00", "2024-01-10 09:58:00", srcport="1031", url="http://x")
-    scan = hits._explain_string(mode="formatted")
+    scan = explained(hits)
     partition_filters = scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert "concat(d" in partition_filters
     pushed = scan.split("PushedFilters: [")[1].split("ReadSchema")[0]
