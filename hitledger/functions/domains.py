@@ -72,9 +72,12 @@ def top_domain_sql(domain: str, suffixes: SuffixLists) -> str:
     )
 
 
+def _last_label_sql(domain: str) -> str:
+    return rf"regexp_extract({domain}, r'^.*\.(\w+)(?::\d+)?\z', 1)"
+
+
 def foreign_sql(domain: str, suffixes: Iterable[str]) -> str:
-    suffix = rf"regexp_extract({domain}, r'^.*\.(\w+)(?::\d+)?\z', 1)"
-    return f"if({_in_list(suffix, [s for s in suffixes if s])}, 1, 0)"
+    return f"if({_in_list(_last_label_sql(domain), [s for s in suffixes if s])}, 1, 0)"
 
 
 def is_well_formed(domain: str = "domain") -> Column:
@@ -91,6 +94,17 @@ def is_foreign(domain: str, suffixes: Iterable[str]) -> Column:
     return F.expr(foreign_sql(domain, suffixes))
 
 
+def add_foreign(
+    df: DataFrame, suffixes: Iterable[str] | DataFrame, domain: str = "domain", out: str = "isforeign"
+) -> DataFrame:
+    """Add the foreign flag; a long suffix list comes as a DataFrame ``(suffix)`` and is joined."""
+    if not isinstance(suffixes, DataFrame):
+        return df.withColumn(out, is_foreign(domain, suffixes))
+    keys = suffixes.where(F.col("suffix") != "").select(F.col("suffix").alias("_foreign")).distinct()
+    joined = df.join(keys, F.expr(_last_label_sql(domain)) == F.col("_foreign"), "left")
+    return joined.withColumn(out, F.col("_foreign").isNotNull().cast("int")).drop("_foreign")
+
+
 def add_top_domain(
     df: DataFrame, suffixes: SuffixLists | DataFrame, domain: str = "domain", out: str = "topdomain"
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.functions.domains import SuffixLists, add_top_domain, is_well_formed
-from hitledger.operators.rollup import PERIOD, hour_domain, hour_domainip, hour_ipport
+from hitledger.operators.rollup import hour_domain, hour_domainip, hour_ipport
 
 
 def flag_legal(log: DataFrame, house_ips: DataFrame, suffixes: SuffixLists | DataFrame | None = None) -> DataFrame:
@@ -55,9 +55,3 @@ def legal_hour_domainip(
 def legal_hour_domain(domainip: DataFrame, suffixes: SuffixLists | DataFrame) -> DataFrame:
     """Per domain, from legal ``domainip`` rows; no foreign flag in this variant."""
     return hour_domain(domainip, suffixes, foreign=None)
-
-
-__all__ = [
-    "PERIOD", "flag_legal", "hour_illegal", "illegal_only", "legal_hour_domain",
-    "legal_hour_domainip", "legal_hour_ipport", "legal_only",
-]

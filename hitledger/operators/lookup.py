@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.functions.domains import SuffixLists, top_domain
+from hitledger.functions.domains import SuffixLists, add_top_domain
 
 
 def _answer(rows: DataFrame, times: Column, batch_id: str, domain: str, asked_at: str) -> DataFrame:
@@ -30,11 +30,13 @@ def count_in_lines(
     *,
     batch_id: str,
     asked_at: str,
-    suffixes: SuffixLists | None = None,
+    suffixes: SuffixLists | DataFrame | None = None,
 ) -> DataFrame:
     """Hits among raw lines; with ``suffixes``, ``domain`` is a registrable domain."""
-    key = F.col("domain") if suffixes is None else top_domain("domain", suffixes)
-    return _answer(domains.where(key == domain), F.count(F.lit(1)), batch_id, domain, asked_at)
+    key = "domain"
+    if suffixes is not None:
+        domains, key = add_top_domain(domains, suffixes), "topdomain"
+    return _answer(domains.where(F.col(key) == domain), F.count(F.lit(1)), batch_id, domain, asked_at)
 
 
 def count_so_far(stats_answer: DataFrame, lines_answer: DataFrame | None) -> DataFrame:
@@ -53,7 +55,7 @@ def count_domain(
     batch_id: str,
     asked_at: str,
     query_day: str,
-    suffixes: SuffixLists | None = None,
+    suffixes: SuffixLists | DataFrame | None = None,
     count_fresh: bool = True,
 ) -> DataFrame:
     """Both answers for today, the statistics alone for another day."""

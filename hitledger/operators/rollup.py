@@ -15,7 +15,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.functions.domains import SuffixLists, add_top_domain, is_foreign, is_well_formed
+from hitledger.functions.domains import SuffixLists, add_foreign, add_top_domain, is_well_formed
 from hitledger.functions.times import as_instant
 
 PERIOD = ["hid", "d", "h"]
@@ -86,7 +86,7 @@ def hour_domainip(stats: DataFrame, suffixes: SuffixLists | DataFrame) -> DataFr
 
 
 def hour_domain(
-    domainip: DataFrame, suffixes: SuffixLists | DataFrame, foreign: Iterable[str] | None = ()
+    domainip: DataFrame, suffixes: SuffixLists | DataFrame, foreign: Iterable[str] | DataFrame | None = ()
 ) -> DataFrame:
     """Per domain, from well-formed rows of log hits or of ``domainip``.
 
@@ -97,7 +97,7 @@ def hour_domain(
     stats = add_top_domain(merge(per_ip, [*PERIOD, "domain"], destip=F.max("destip")), suffixes)
     flag = []
     if foreign is not None:
-        stats, flag = stats.withColumn("isforeign", is_foreign("domain", foreign)), ["isforeign"]
+        stats, flag = add_foreign(stats, foreign), ["isforeign"]
     return rendered(stats, _ordered("domain", *flag, *MEASURES, "topdomain", "destip"))
 
 

@@ -33,7 +33,7 @@ def run_hour_stats(
     begin: str | datetime,
     end: str | datetime,
     suffixes: SuffixLists | DataFrame,
-    foreign: Iterable[str] = (),
+    foreign: Iterable[str] | DataFrame = (),
     hids: Sequence[int] | None = None,
 ) -> None:
     """``ipportdomain`` -> ``ipport`` and ``domainip`` -> ``domain`` / ``foreigndomain``."""

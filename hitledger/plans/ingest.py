@@ -14,10 +14,11 @@ from hitledger.sources.lines import parse_tolerant, read_lines
 
 def run_ingest(
     spark: SparkSession, input_path: str, root: str, batch_id: str, load_time: str | datetime,
-    zone: str | None = None,
+    zone: str | None = None, balance: bool = True,
 ) -> None:
     """Parse, drop late rows, publish. Safe to repeat for the same ``batch_id``."""
-    publish(ingest_rows(read_lines(spark, input_path), load_time, batch_id, zone), root)
+    rows = ingest_rows(read_lines(spark, input_path), load_time, batch_id, zone)
+    publish(rows, root, balance=balance)
 
 
 def run_append(spark: SparkSession, input_path: str, root: str, batch_id: str, zone: str | None = None) -> None:

@@ -31,7 +31,7 @@ def run_domain_count(
     query_day: str | None = None,
     batch_id: str | None = None,
     granularity: str = "hour",
-    suffixes: SuffixLists | None = None,
+    suffixes: SuffixLists | DataFrame | None = None,
     count_fresh: bool = True,
     n_fields: int = N_FIELDS,
 ) -> DataFrame:

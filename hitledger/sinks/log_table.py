@@ -11,29 +11,37 @@ from hitledger.schema import LAYOUT_COLUMNS, PARTITION_COLUMNS, QUERY_COLUMNS
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _writer(rows: DataFrame, mode: str, by: Sequence[str]) -> DataFrameWriter:
-    # Adaptive rebalancing splits a hot house or minute over several tasks and
-    # packs thin ones together, so file sizes follow the data.
-    balanced = rows.select(*QUERY_COLUMNS, *LAYOUT_COLUMNS).hint("rebalance", *by)
+def _writer(rows: DataFrame, mode: str, by: Sequence[str], balance: bool) -> DataFrameWriter:
+    rows = rows.select(*QUERY_COLUMNS, *LAYOUT_COLUMNS)
+    if balance:
+        # Adaptive rebalancing splits a hot house or minute over several tasks and
+        # packs thin ones together, so file sizes follow the data.
+        rows = rows.hint("rebalance", *by)
     return (
-        balanced.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        rows.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*by, "batch")
     )
 
 
-def publish(rows: DataFrame, root: str, by: Sequence[str] = PARTITION_COLUMNS) -> None:
+def publish(
+    rows: DataFrame, root: str, by: Sequence[str] = PARTITION_COLUMNS, balance: bool = True
+) -> None:
     """Replace what a batch wrote before in every (partition, batch) it touches now.
 
     Publishing a batch twice is publishing it once. A partition that only the
     earlier run touched keeps the earlier rows. ``by`` may name fewer levels for
     a log too thin for 5-minute directories; the other columns go into the files.
+    ``balance=False`` saves the shuffle where input files already hold one house
+    and a few minutes each.
     """
-    _writer(rows, "overwrite", by).option("partitionOverwriteMode", "dynamic").orc(root)
+    _writer(rows, "overwrite", by, balance).option("partitionOverwriteMode", "dynamic").orc(root)
 
 
-def append(rows: DataFrame, root: str, by: Sequence[str] = PARTITION_COLUMNS) -> None:
+def append(
+    rows: DataFrame, root: str, by: Sequence[str] = PARTITION_COLUMNS, balance: bool = True
+) -> None:
     """Add rows without replacing any; a repeated run repeats them."""
-    _writer(rows, "append", by).orc(root)
+    _writer(rows, "append", by, balance).orc(root)
 
 
 def create_log_table(spark: SparkSession, table: str, root: str) -> None:

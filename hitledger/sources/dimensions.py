@@ -31,13 +31,16 @@ def as_suffix_lists(suffixes: DataFrame, limit: int = MAX_LITERALS) -> SuffixLis
     return SuffixLists(generic=pick("in"), area=pick("area"), country=pick("country"))
 
 
-def read_foreign_suffixes(spark: SparkSession, path: str | None, limit: int = MAX_LITERALS) -> list[str]:
-    """``suffix-name-x`` lines -> suffixes. No file means no foreign domain."""
+def read_foreign_suffixes(
+    spark: SparkSession, path: str | None, limit: int = MAX_LITERALS
+) -> list[str] | DataFrame:
+    """``suffix-name-x`` lines -> suffixes, to be joined if there are many. No file: none."""
     if not path:
         return []
-    rows = _three_fields(spark, path, "-").select(F.col("f")[0].alias("suffix")).distinct().take(limit + 1)
+    suffixes = _three_fields(spark, path, "-").select(F.col("f")[0].alias("suffix")).distinct()
+    rows = suffixes.take(limit + 1)
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} foreign suffixes in {path}")
+        return suffixes
     return sorted(r["suffix"] for r in rows)
 
 
@@ -51,9 +54,9 @@ def read_houses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, schema="houseid string, housename string")
 
 
-def read_houses_jdbc(spark: SparkSession, url: str, **options: str) -> DataFrame:
+def read_houses_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """The same list from the operator's database."""
-    query = "select houseid, housename from dpihouseinfo"
+    query = f"select houseid, housename from {table}"
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 

@@ -32,7 +32,7 @@ def _glob(begin: datetime | None, end: datetime | None, hids: Sequence[int | str
     days = days_between(begin, end)
     if len(days) > MAX_NAMED_DAYS:
         return [house] if hids else [""]
-    return [f"{house}/d={day}" for day in days]
+    return [f"{house}/d={{{','.join(days)}}}"]
 
 
 def read_access_log(

@@ -64,6 +64,9 @@ def test_foreign(spark):
     df = spark.createDataFrame(list(cases.items()), "domain string, want int")
     assert df.where(domains.is_foreign("domain", FOREIGN) != F.col("want")).collect() == []
     assert df.where(domains.is_foreign("domain", []) != 0).collect() == []
+    table = spark.createDataFrame([("ru",), ("ru",), ("",)], "suffix string")
+    joined = domains.add_foreign(df, table)
+    assert joined.count() == df.count() and joined.where("isforeign <> want").collect() == []
 
 
 def test_ip_to_long(spark):

@@ -44,6 +44,8 @@ def test_ingest_jobs(spark, tmp_path):
     run_ingest(spark, f"{tmp_path}/in", root, "b1", "202401010430", zone="UTC")
     log = read_access_log(spark, root)
     assert log.agg(F.min("acctime")).first()[0] == "2024-01-01 02:31:00" and log.count() == 49
+    run_ingest(spark, f"{tmp_path}/in", root, "b1", "202401010430", zone="UTC", balance=False)
+    assert read_access_log(spark, root).count() == 49
     everything = stage_dir(spark, "t")
     run_append(spark, f"{tmp_path}/in", everything, "b1", zone="UTC")
     assert read_access_log(spark, everything).count() == 201
