@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from hitledger.workbook import QUERIES  # noqa: E402
 
 HEADLINE = [
-    "stat_hour_ipportdomain", "stat_hour_ipport", "stat_hour_domainip", "stat_hour_domain",
+    "stat_hour_ipportdomain", "stat_hour_ipport", "stat_hour_domainip", "stat_hour_domain", "stat_hour_tree",
     "stat_hour_legal_domainip", "stat_hour_illegal", "stat_day_ipportdomain", "stat_day_domain",
     "search_time_ip_range", "search_domain_port_proto", "search_url_prefix", "parse_tolerant",
     "ingest_lateness", "ingest_layout_counts", "domain_count_hybrid", "partition_missing",
