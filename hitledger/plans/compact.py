@@ -5,8 +5,8 @@ names starting with an underscore): the plan, the merged files, a mark that the
 row counts agree, then the swap. Repeating a merge with the same id resumes
 after the last finished step; the swap itself can be repeated file by file.
 
-While files are swapped a reader may miss rows, so merge partitions that are no
-longer written. A merged file no longer knows its batches: do not publish a
+While the files of a partition are swapped a reader may miss its rows, so merge
+partitions that are no longer written. A merged file no longer knows its batches: do not publish a
 batch again into merged partitions.
 """
 
@@ -82,13 +82,27 @@ def merge_files(
             raise RuntimeError(f"merge {merge_id}: {before} rows read, {after} written; nothing was swapped")
         files.make_marker(f"{work}/_verified")
 
-    root_path = files.qualified(root)
-    for row in plan.select("file_path").toLocalIterator():
-        source = files.qualified(row["file_path"])
-        if files.exists(source):
-            files.move(source, old_dir + source.removeprefix(root_path))
-    data_path = files.qualified(data_dir)
-    for merged in files.glob(data_dir + "/*=*" * (len(by) + 1) + "/*.orc"):
-        files.move(merged, root + files.qualified(merged).removeprefix(data_path))
+    _swap(files, root, plan, data_dir, old_dir, "/*=*" * len(by))
     files.remove(work)
     return int(n_files)
+
+
+def _swap(files: Files, root: str, plan: DataFrame, data_dir: str, old_dir: str, levels: str) -> None:
+    """Partition by partition: planned files out, merged files in. Can be repeated."""
+    root_path, data_path = files.qualified(root), files.qualified(data_dir)
+
+    def move_in(partition: str) -> None:
+        for merged in files.glob(f"{data_dir}{partition}/batch=*/*.orc"):
+            files.move(merged, root + files.qualified(merged).removeprefix(data_path))
+
+    done = None
+    for row in plan.select("file_path").orderBy("file_path").toLocalIterator():
+        source = files.qualified(row["file_path"])
+        inner = source.removeprefix(root_path)
+        partition = inner[: inner.rindex("/batch=")]
+        if done not in (None, partition):
+            move_in(done)
+        done = partition
+        if files.exists(source):
+            files.move(source, old_dir + inner)
+    move_in(levels)
