@@ -3,8 +3,8 @@ from conftest import SF
 from oracle import differences, duck
 
 import __spark_entry__ as contract
-
-SQL = contract.oracle_sql()
+from hitledger.workbook import QUERIES
+from hitledger.workbook_sql import SQL
 
 
 @pytest.fixture(scope="module")
@@ -13,18 +13,19 @@ def con():
 
 
 def test_contract():
-    queries = contract.queries()
-    assert set(queries) - set(SQL) == {"compaction_plan"}
-    assert set(SQL) <= set(queries)
+    assert QUERIES.items() <= contract.queries().items()
+    assert SQL.items() <= contract.oracle_sql().items()
+    assert set(QUERIES) - set(SQL) == {"compaction_plan"}
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    got = contract.queries()[name](spark, SF)
+    got = QUERIES[name](spark, SF)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name in SQL:
