@@ -3,7 +3,9 @@
 A text's set of word shingles gives ``BANDS * ROWS`` MinHash samples. Bands of
 them find candidates; all of them together are folded into a bitmap of parities
 (an odd sketch), and the population count of two bitmaps' XOR tells how many
-samples differ. Candidates that pass are compared on their full shingle sets.
+samples differ. A second odd sketch folds the whole set: its count never
+exceeds the number of shingles that differ, so it rules candidates out for certain.
+Candidates that pass both are compared on their full shingle sets.
 
 Texts with the same set are one node throughout, so that a group of copies of
 any size costs one signature. A band bucket of more than ``SMALL`` nodes never
@@ -30,7 +32,8 @@ from hitledger.llm.textbytes import (
 )
 
 BANDS, ROWS = 32, 5
-SKETCH_BITS = 512
+SKETCH_BITS, SET_BITS = 512, 2048
+SKETCH_WORDS, ALL_WORDS = SKETCH_BITS // 64, (SKETCH_BITS + SET_BITS) // 64
 #: Buckets up to this size emit their pairs, at most (SMALL - 1) / 2 for each node.
 SMALL = 16
 #: Sketches compared at once inside a task: members of a bucket, and those of them that are outside its main component.
@@ -83,7 +86,7 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes (rows, BANDS) and odd sketches (rows, SKETCH_BITS / 64) of sets that are not empty."""
+    """Band hashes (rows, BANDS) of sets that are not empty, and their odd sketches, of samples and of all, as ALL_WORDS words."""
     k = BANDS * ROWS
     steps = mix(np.arange(1, 2 * k + 1, dtype=np.uint64))
     scale, shift = steps[:k] | np.uint64(1), steps[k:]
@@ -94,11 +97,17 @@ def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         samples[j] = np.minimum.reduceat(values * scale[j] + shift[j], at)
     samples = np.ascontiguousarray(samples.T)
     bands = mix(span_sums_rows(samples.reshape(len(sets) * BANDS, ROWS))).reshape(len(sets), BANDS)
-    place = mix(samples + shift) % np.uint64(SKETCH_BITS)
-    place += (np.arange(len(sets), dtype=np.uint64) * np.uint64(SKETCH_BITS))[:, None]
-    parity = np.bincount(place.ravel().astype(np.int64), minlength=len(sets) * SKETCH_BITS) & 1
-    sketch = np.packbits(parity.astype(np.uint8).reshape(len(sets), SKETCH_BITS), axis=1).view(np.uint64)
-    return bands, sketch
+    rows = np.arange(len(sets))
+    sampled = _parities(mix(samples + shift).ravel(), np.repeat(rows, k), len(sets), SKETCH_BITS)
+    everything = _parities(mix(values), np.repeat(rows, [len(s) for s in sets]), len(sets), SET_BITS)
+    return bands, np.concatenate([sampled, everything], 1)
+
+
+def _parities(hashes: np.ndarray, row: np.ndarray, rows: int, bits: int) -> np.ndarray:
+    """For each row a bitmap of whether an odd number of its hashes falls on a bit."""
+    place = (hashes % np.uint64(bits)).astype(np.int64) + row * bits
+    parity = np.bincount(place, minlength=rows * bits) & 1
+    return np.packbits(parity.astype(np.uint8).reshape(rows, bits), axis=1).view(np.uint64)
 
 
 def span_sums_rows(matrix: np.ndarray) -> np.ndarray:
@@ -130,7 +139,7 @@ def sign(docs: DataFrame, shingles: Shingles) -> DataFrame:
                 values = np.concatenate(sets)
                 keys = [_sums(mix(values + np.uint64(salt)), bounds).view(np.int64) for salt in (1, 2)]
                 full = np.flatnonzero(sizes)
-                bands, sketch = np.zeros((len(sets), BANDS), np.uint64), np.zeros((len(sets), SKETCH_BITS // 64), np.uint64)
+                bands, sketch = np.zeros((len(sets), BANDS), np.uint64), np.zeros((len(sets), ALL_WORDS), np.uint64)
                 if len(full):
                     bands[full], sketch[full] = _signatures([sets[i] for i in full])
                 yield pa.record_batch(
@@ -161,9 +170,11 @@ def _plausible(pairs: DataFrame, signed: DataFrame, shingles: Shingles) -> DataF
     for side in ("a", "b"):
         own = signed.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
         pairs = pairs.join(own, side)
-    apart = sum((F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    differing = lambda a, b: sum((F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(a, b)), F.lit(0))
+    samples, items = differing(0, SKETCH_WORDS), differing(SKETCH_WORDS, ALL_WORDS)
+    possible = items * (100 + shingles.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - shingles.percent)
     near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * shingles.percent
-    return pairs.where(near & (apart <= shingles.most_bits)).select("a", "b")
+    return pairs.where(near & (samples <= shingles.most_bits) & possible).select("a", "b")
 
 
 def _confirmed(stages: Stages, docs: DataFrame, pairs: DataFrame, shingles: Shingles) -> DataFrame:
@@ -207,12 +218,14 @@ def _block_pairs(members: DataFrame, best: int | None, shingles: Shingles) -> Da
         wide, own = slice(0, split), slice(split, len(rows))
         found = []
         for at in range(own.start, own.stop):
-            apart = np.bitwise_count(sketches[wide] ^ sketches[at]).sum(1)
+            differ = np.bitwise_count(sketches[wide] ^ sketches[at])
+            apart, items = differ[:, :SKETCH_WORDS].sum(1, np.int64), differ[:, SKETCH_WORDS:].sum(1, np.int64)
             sizes, size = rows["n"][wide], rows["n"][at]
             fit = (rows["label"][wide] != rows["label"][at]) & (apart <= most_bits)
+            fit &= items * (100 + percent) <= (sizes + size) * (100 - percent)
             fit &= np.minimum(sizes, size) * 100 >= np.maximum(sizes, size) * percent
             hits = np.flatnonzero(fit)
-            hits = hits if best is None else hits[np.argsort(apart[hits], kind="stable")][:best]
+            hits = hits if best is None else hits[np.argsort(items[hits], kind="stable")][:best]
             found += [(min(x, y), max(x, y)) for x, y in ((int(rows["node"][at]), int(rows["node"][h])) for h in hits)]
         return found
 
