@@ -76,7 +76,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 def shape_of(path: Column) -> Column:
     """The path with segments that are variable by their form as ``*``: numbers, hex strings, with or without a suffix."""
-    return F.regexp_replace(path, r"(?<=/)(?:[0-9]+|[0-9a-fA-F-]{16,})(?=/|\.[A-Za-z0-9]{1,5}$|$)", "*")
+    return F.regexp_replace(path, r"(?<=/)(?:[0-9]+|[0-9a-fA-F-]{16,})(?=/|\.[A-Za-z0-9]{1,5}\z|\z)", "*")
 
 
 def _segment(shape: Column, level: int) -> Column:
