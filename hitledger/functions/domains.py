@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from hitledger.functions.text import sql_literal
@@ -26,6 +26,12 @@ class SuffixLists:
     area: tuple[str, ...]     # "area" rows: js.cn, ...
     country: tuple[str, ...]  # "country" rows: cn, ...
 
+    @classmethod
+    def of(cls, rows: Iterable[Row]) -> SuffixLists:
+        """From rows (kind, value)."""
+        found = {(row["kind"], row["value"]) for row in rows}
+        return cls(*(tuple(sorted(v for k, v in found if k == kind)) for kind in ("in", "area", "country")))
+
 
 def _in_list(expr: str, values: Iterable[str]) -> str:
     values = sorted(set(values))

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from hitledger.functions.domains import SuffixLists, foreign_sql, top_domain_sql
 from hitledger.functions.net import ip_to_long_sql
 
 
 def register_sql_functions(
-    spark: SparkSession, suffixes: SuffixLists | None = None, foreign: Iterable[str] = ()
+    spark: SparkSession, suffixes: SuffixLists | DataFrame | None = None, foreign: Iterable[str] | DataFrame = ()
 ) -> None:
     """``ip2long(ip)``, ``foreignDomain(domain)`` and, given suffixes, ``topDomain(domain)``.
 
     Bodies are inlined by the analyzer, so a query using them keeps its codegen.
+    A function body cannot join, so lists that come as DataFrames (dimension
+    lists of any length) become literals here.
     """
+    if isinstance(suffixes, DataFrame):
+        suffixes = SuffixLists.of(suffixes.collect())
+    if isinstance(foreign, DataFrame):
+        foreign = [row["suffix"] for row in foreign.collect()]
     bodies = {
         "ip2long(ip string) returns bigint": ip_to_long_sql("ip"),
         "foreignDomain(domain string) returns int": foreign_sql("domain", foreign),

@@ -13,22 +13,39 @@ from pyspark.sql import functions as F
 
 TEXT_FORMAT = "%Y-%m-%d %H:%M:%S"
 UNREADABLE = "0"
-# At most eleven digits: seconds up to the year 5138.
-_SECONDS = r"^[+-]?0*\d{1,11}\z"
+_SECONDS = r"^[+-]?\d+\z"
+# Seconds of 400 years, after which the calendar repeats, and the seconds of years 1 to 9999.
+_CYCLE = 12_622_780_800
+_PLAIN_YEARS = (-62_135_510_400, 253_402_214_400)
 
 
 def epoch_text(seconds: Column, zone: str | None = None) -> Column:
-    """Unix seconds (text) -> time text in ``zone`` (default: the session's); null if unreadable."""
+    """Unix seconds (text) -> time text in ``zone`` (default: the session's); null if unreadable.
+
+    Any 64-bit number has a time. Years of more than four digits are written in
+    full; a time so far off that its text has no digit where the minute is cut
+    out is unreadable.
+    """
     number = F.when(seconds.rlike(_SECONDS), seconds.try_cast("bigint"))
+    plain = number.between(*_PLAIN_YEARS)
+    rest = F.pmod(number, F.lit(_CYCLE))
+    near = F.when(plain, number).otherwise(rest)
     if zone is None:
-        return F.from_unixtime(number)
-    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=number)
-    local = utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    return local.cast("string")
+        text = F.from_unixtime(near)
+    else:
+        utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=near)
+        local = utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+        text = local.cast("string")
+    cycles = F.round(F.try_subtract(number, rest) / _CYCLE).cast("bigint")
+    year = text.substr(1, 4).cast("bigint") + cycles * 400
+    shown = F.when(year < 1, 1 - year).otherwise(year).cast("string")  # years before the first count backwards
+    shown = F.when(F.length(shown) < 4, F.lpad(shown, 4, "0")).otherwise(shown)
+    far = F.concat(shown, text.substr(F.lit(5), F.length(text)))
+    return F.when(plain, text).when(far.substr(16, 1).rlike("[0-9]"), far)
 
 
 def day_of(acctime: Column) -> Column:
-    return F.concat(acctime.substr(3, 2), acctime.substr(6, 2), acctime.substr(9, 2))
+    return F.replace(acctime.substr(3, 8), F.lit("-"), F.lit(""))
 
 
 def hour_of(acctime: Column) -> Column:

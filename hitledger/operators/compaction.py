@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Mapping
+from types import MappingProxyType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,15 +23,11 @@ MB = 1024 * 1024
 # Size limits in MB.
 SMALL_FILE_MB = 80
 MERGED_FILE_MB = 120
-HOUSE_MERGED_MB = {"1002": 80}
 COALESCE_BELOW_MB = 50
 COALESCE_OUTPUT_MB = 50
 REWRITE_OUTPUT_MB = 100
 CLASS_LIMITS_MB = {"le25": (0, 25), "le42": (25, 42), "le64": (42, 64)}
 
-# A partition with more small files than this is packed in several chunks.
-PACK_CHUNK_FILES = 50_000
-
 _PLAN_COLUMNS = [*PARTITION_COLUMNS, "file_path", "file_size", "target", "outputs"]
 _PLAN_SCHEMA = (
     "hid string, d string, h string, m5 string, file_path string, file_size bigint, target string, outputs int"
@@ -60,10 +57,9 @@ def pack(files: list[tuple[int, str]], limit: int) -> list[list[str]]:
 def _pack_group(group: pa.Table) -> pa.Table:
     rows = group.to_pydict()
     bins = pack(list(zip(rows["file_size"], rows["file_path"])), rows["bin_limit"][0])
-    chunk = rows["chunk"][0]
-    target = {name: f"{chunk}-{i}" for i, b in enumerate(bins) if len(b) > 1 for name in b}
+    target = {name: min(b) for b in bins if len(b) > 1 for name in b}
     targets = pa.array([target.get(name) for name in rows["file_path"]], pa.string())
-    planned = group.drop_columns(["chunk", "bin_limit"]).append_column("target", targets)
+    planned = group.drop_columns(["bin_limit"]).append_column("target", targets)
     planned = planned.filter(targets.is_valid())
     return planned.append_column("outputs", pa.array([1] * len(planned), pa.int32()))
 
@@ -79,26 +75,18 @@ def plan_bin_packing(
     listing: DataFrame,
     small_mb: float = SMALL_FILE_MB,
     merged_mb: float = MERGED_FILE_MB,
-    house_merged_mb: Mapping[str, float] = HOUSE_MERGED_MB,
-    chunk_files: int = PACK_CHUNK_FILES,
+    house_merged_mb: Mapping[str, float] = MappingProxyType({}),
 ) -> DataFrame:
-    """Merge small files of a partition into files below ``merged_mb``.
+    """Merge small files of a partition into files below ``merged_mb`` (or what ``house_merged_mb`` has for the house).
 
     Packing is sequential, so it runs once per partition, on (name, size) pairs.
-    A partition with a huge number of small files is packed in hash chunks of
-    about ``chunk_files`` to bound the task; its bins keep the same guarantees.
+    A merged file is named after the first of its files.
     """
     small = listing.where(F.col("file_size") < int(small_mb * MB))
-    chunks = small.groupBy(*PARTITION_COLUMNS).agg(
-        F.ceil(F.count(F.lit(1)) / chunk_files).cast("int").alias("chunks")
-    )
-    chunked = small.join(chunks, PARTITION_COLUMNS).withColumn(
-        "chunk", F.pmod(F.xxhash64("file_path"), F.col("chunks")).cast("int")
-    )
     return (
-        chunked.withColumn("bin_limit", _bin_limit(merged_mb, house_merged_mb))
-        .select(*PARTITION_COLUMNS, "file_path", "file_size", "chunk", "bin_limit")
-        .groupBy(*PARTITION_COLUMNS, "chunk").applyInArrow(_pack_group, _PLAN_SCHEMA)
+        small.withColumn("bin_limit", _bin_limit(merged_mb, house_merged_mb))
+        .select(*PARTITION_COLUMNS, "file_path", "file_size", "bin_limit")
+        .groupBy(*PARTITION_COLUMNS).applyInArrow(_pack_group, _PLAN_SCHEMA)
     )
 
 

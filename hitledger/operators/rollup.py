@@ -47,10 +47,12 @@ def merge(stats: DataFrame, keys: Sequence[str], **extra: Column) -> DataFrame:
 
 
 def rendered(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Times as text again. Hours of unreadable times ("0", "-1") show that mark."""
-    text = {name: F.col(name).cast("string") for name in ("firsttime", "activetime")}
-    if "d" in stats.columns:
-        text = {name: F.coalesce(column, "d") for name, column in text.items()}
+    """Times as text again. Hours and days of unreadable times ("0", "-1") show that mark."""
+    # Years of more than four digits get no sign.
+    text = {name: F.ltrim(F.col(name).cast("string"), F.lit("+")) for name in ("firsttime", "activetime")}
+    mark = next((name for name in ("d", "day") if name in stats.columns), None)
+    if mark:
+        text = {name: F.coalesce(column, mark) for name, column in text.items()}
     if "hid" in columns:
         text["hid"] = F.col("hid").cast("string")
     return stats.withColumns(text).select(*columns)
@@ -95,6 +97,15 @@ def hour_domain(
     """
     per_ip = merge(domainip.where(is_well_formed()), [*PERIOD, *_DOMAINIP])
     stats = add_top_domain(merge(per_ip, [*PERIOD, "domain"], destip=F.max("destip")), suffixes)
+    return _flagged(stats, foreign)
+
+
+def domain_of_domainip(domainip: DataFrame, foreign: Iterable[str] | DataFrame | None = ()) -> DataFrame:
+    """The same from stored ``domainip`` rows: unique by address already, with their registrable domain."""
+    return _flagged(merge(domainip, [*PERIOD, "domain", "topdomain"], destip=F.max("destip")), foreign)
+
+
+def _flagged(stats: DataFrame, foreign: Iterable[str] | DataFrame | None) -> DataFrame:
     flag = []
     if foreign is not None:
         stats, flag = add_foreign(stats, foreign), ["isforeign"]
@@ -109,8 +120,8 @@ def split_foreign(domains: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---- day level: final merge of hour rows ----------------------------------
 
 
-def _day(stats: DataFrame, keys: Sequence[str], columns: Sequence[str], **extra: Column) -> DataFrame:
-    merged = merge(stored(stats), ["hid", "day", *keys], **extra)
+def _day(stats: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    merged = merge(stored(stats), ["hid", "day", *keys])
     return rendered(merged, ["hid", "day", *columns])
 
 
@@ -126,9 +137,16 @@ def day_ipport(hour_stats: DataFrame) -> DataFrame:
     return _day(_with_day(hour_stats), _IPPORT, [*_IPPORT, *MEASURES])
 
 
+def _day_in_two_steps(stats: DataFrame, keys: Sequence[str], last: str, columns: Sequence[str]) -> DataFrame:
+    """With the maximum of text ``last``: hashed by it first, so that only merged rows are sorted."""
+    by_last = merge(stored(stats), ["hid", "day", *keys, last])
+    merged = merge(by_last, ["hid", "day", *keys], **{last: F.max(last)})
+    return rendered(merged, ["hid", "day", *columns])
+
+
 def day_domainip(hour_stats: DataFrame) -> DataFrame:
     keys = ["domain", "topdomain", "destip"]
-    return _day(_with_day(hour_stats), keys, [*keys, *MEASURES, "proctype"], proctype=F.max("proctype"))
+    return _day_in_two_steps(_with_day(hour_stats), keys, "proctype", [*keys, *MEASURES, "proctype"])
 
 
 def _registrable(hour_domains: DataFrame, drop_no_topdomain: bool) -> DataFrame:
@@ -137,10 +155,8 @@ def _registrable(hour_domains: DataFrame, drop_no_topdomain: bool) -> DataFrame:
 
 def day_domain(hour_domains: DataFrame, drop_no_topdomain: bool = True) -> DataFrame:
     rows = _with_day(_registrable(hour_domains, drop_no_topdomain))
-    return _day(
-        rows, ["domain"], ["domain", *MEASURES, "destip", "topdomain"],
-        destip=F.max("destip"), topdomain=F.max("topdomain"),
-    )
+    # The registrable domain follows from the domain, so as a key it splits nothing.
+    return _day_in_two_steps(rows, ["domain", "topdomain"], "destip", ["domain", *MEASURES, "destip", "topdomain"])
 
 
 def day_topdomain(hour_domains: DataFrame, drop_no_topdomain: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 from datetime import datetime
 from functools import reduce
 from operator import and_
@@ -49,7 +50,9 @@ def _url_predicate(url: str, mode: str) -> Column:
         # Prefix of the stored base64: a prefix of the URL only if its length is a multiple of 3.
         return F.col("url").startswith(encode_literal(url))
     if mode == URL_PREFIX:
-        return decode(F.col("url")).startswith(url)
+        # Whole groups of three bytes are encoded on their own: that much is asked of the stored text, and pushed down.
+        whole = url.encode()[: len(url.encode()) // 3 * 3]
+        return F.col("url").startswith(base64.b64encode(whole).decode()) & decode(F.col("url")).startswith(url)
     raise ValueError(f"unknown url mode {mode!r}")
 
 

@@ -41,7 +41,7 @@ def planned_rows(
         F.monotonically_increasing_id().alias("row_no"),
     )
     place = plan.select("file_path", "target", "outputs")
-    label = F.concat(F.lit("merge-"), "target", F.lit("-"), F.pmod("row_no", "outputs").cast("string"))
+    label = F.concat(F.lit("merge-"), F.sha2("target", 256).substr(1, 16), F.lit("-"), F.pmod("row_no", "outputs").cast("string"))
     return rows.join(place, "file_path").withColumn("batch", label).drop("file_path", "row_no", "target", "outputs")
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hitledger.operators import rollup
 from hitledger.sinks.stat_tables import write_day_tsv
-from hitledger.sources.tables import read_hour_stats
+from hitledger.functions.times import parse_param
+from hitledger.sources.tables import partition_globs, read_hour_stats
 
 # Day table -> (hour table it merges, merge).
 MERGES = {
@@ -35,10 +36,14 @@ def run_day_stats(
     day: str | datetime,
     hids: Sequence[int] | None = None,
     merges: dict = MERGES,
+    last_day: str | datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """Write every day table; returns their (path, row_count) rows."""
+    """Replace the day (up to ``last_day``: all days) in every day table; returns their (path, row_count) rows."""
+    begin = parse_param(day).replace(hour=0, minute=0, second=0)
+    end = parse_param(last_day or day).replace(hour=23, minute=59, second=59)
+    days = partition_globs(begin, end, hids, ["hid", "d"])
     written = {}
     for table, (source, merge) in merges.items():
-        stats = merge(read_hour_stats(spark, hour_root, source, day, hids=hids))
-        written[table] = write_day_tsv(stats, f"{out_root}/{table}", table)
+        stats = merge(read_hour_stats(spark, hour_root, source, begin, end, hids))
+        written[table] = write_day_tsv(stats, f"{out_root}/{table}", table, days)
     return written

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from hitledger.functions.domains import SuffixLists
 from hitledger.functions.times import parse_param
 from hitledger.operators import legality, rollup
-from hitledger.sinks.stat_tables import write_hour_table, write_hour_tsv
-from hitledger.sources.tables import read_access_log, read_hour_stats
+from hitledger.sinks.stat_tables import HOUR_PARTITIONS, write_hour_table, write_hour_tsv
+from hitledger.sources.tables import partition_globs, read_access_log, read_hour_stats
 from hitledger.workspace import Files, stage_dir
 
 
@@ -36,16 +36,25 @@ def run_hour_stats(
     foreign: Iterable[str] | DataFrame = (),
     hids: Sequence[int] | None = None,
 ) -> None:
-    """``ipportdomain`` -> ``ipport`` and ``domainip`` -> ``domain`` / ``foreigndomain``."""
+    """``ipportdomain`` -> ``ipport`` and ``domainip`` -> ``domain`` / ``foreigndomain``.
+
+    All hours from ``begin`` to ``end`` are replaced, those without rows by nothing.
+    """
     log, begin, end = _hours(spark, log_root, begin, end, hids)
-    write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{out_root}/ipportdomain")
+    hours = partition_globs(begin, end, hids, HOUR_PARTITIONS)
+    write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{out_root}/ipportdomain", hours)
     base = rollup.stored(read_hour_stats(spark, out_root, "ipportdomain", begin, end, hids))
-    write_hour_table(rollup.hour_ipport(base), f"{out_root}/ipport")
-    write_hour_table(rollup.hour_domainip(base, suffixes), f"{out_root}/domainip")
+    write_hour_table(rollup.hour_ipport(base), f"{out_root}/ipport", hours)
+    write_hour_table(rollup.hour_domainip(base, suffixes), f"{out_root}/domainip", hours)
     per_ip = rollup.stored(read_hour_stats(spark, out_root, "domainip", begin, end, hids))
-    domestic, abroad = rollup.split_foreign(rollup.hour_domain(per_ip, suffixes, foreign))
-    write_hour_table(domestic, f"{out_root}/domain")
-    write_hour_tsv(abroad, f"{out_root}/foreigndomain")
+    # Staged, so that both halves of the split come from one aggregation.
+    stage = stage_dir(spark, "hour-domains")
+    domains = rollup.domain_of_domainip(per_ip, foreign)
+    domains.write.parquet(stage)
+    domestic, abroad = rollup.split_foreign(spark.read.schema(domains.schema).parquet(stage))
+    write_hour_table(domestic, f"{out_root}/domain", hours)
+    write_hour_tsv(abroad, f"{out_root}/foreigndomain", hours)
+    Files(spark, stage).remove(stage)
 
 
 def run_legal_hour_stats(
@@ -63,13 +72,14 @@ def run_legal_hour_stats(
     The log is read once, into a staged table per IP, port and domain.
     """
     log, begin, end = _hours(spark, log_root, begin, end, hids)
+    hours = partition_globs(begin, end, hids, HOUR_PARTITIONS)
     stage = stage_dir(spark, "legal-hours")
     write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{stage}/ipportdomain")
     base = rollup.stored(read_hour_stats(spark, stage, "ipportdomain"))
-    write_hour_table(legality.hour_illegal(base, house_ips), f"{out_root}/illegLog")
-    write_hour_table(legality.legal_hour_ipport(base, house_ips), f"{out_root}/ipport")
-    write_hour_table(legality.legal_hour_domainip(base, house_ips, suffixes), f"{out_root}/domainip")
+    write_hour_table(legality.hour_illegal(base, house_ips), f"{out_root}/illegLog", hours)
+    write_hour_table(legality.legal_hour_ipport(base, house_ips), f"{out_root}/ipport", hours)
+    write_hour_table(legality.legal_hour_domainip(base, house_ips, suffixes), f"{out_root}/domainip", hours)
     Files(spark, stage).remove(stage)
     per_ip = rollup.stored(read_hour_stats(spark, out_root, "domainip", begin, end, hids))
-    domains = legality.legal_hour_domain(per_ip, suffixes).withColumn("isforeign", F.lit(0))
-    write_hour_table(domains, f"{out_root}/domain")
+    domains = rollup.domain_of_domainip(per_ip, None).withColumn("isforeign", F.lit(0))
+    write_hour_table(domains, f"{out_root}/domain", hours)

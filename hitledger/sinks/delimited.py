@@ -21,6 +21,7 @@ def write_delimited(
         rows = rows.repartition(files)
     counted = rows.observe(seen, F.count(F.lit(1)).alias("row_count"))
     writer = counted.write.mode("overwrite").option("sep", sep).option("emptyValue", "")
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.csv(path)

@@ -2,29 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.schema import DAY_COLUMNS
 from hitledger.sinks.delimited import write_delimited
+from hitledger.workspace import Files
 
 HOUR_PARTITIONS = ["hid", "d", "h"]
 
 
-def write_hour_table(stats: DataFrame, path: str) -> None:
-    """ORC by house and hour; replaces the hours it holds and no others."""
-    (
-        stats.hint("rebalance", *HOUR_PARTITIONS).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_PARTITIONS).orc(path)
-    )
+class Replaced:
+    """Partitions to be replaced by a write, also where it has no row for them.
+
+    Dynamic overwrite leaves a partition alone that the result has nothing for. Files of the requested
+    partitions that are still there after the write are of an earlier result, and go.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, globs: Sequence[str]):
+        self._files = Files(spark, path)
+        self._globs = [f"{path}/{glob}{'/*=*' * (depth - glob.count('='))}" for glob in globs for depth in (2, 3) if glob.count("=") <= depth]
+
+    def _listed(self) -> set[str]:
+        return {file for glob in self._globs for file in self._files.glob(f"{glob}/[!_.]*") if "=" not in file.rsplit("/", 1)[1]}
+
+    def __enter__(self) -> Replaced:
+        self._before = self._listed()
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is None:
+            for folder in {file.rsplit("/", 1)[0] for file in self._before & self._listed()}:
+                self._files.remove(folder)
+
+
+def write_hour_table(stats: DataFrame, path: str, requested: Sequence[str] = ()) -> None:
+    """ORC by house and hour; replaces the hours it holds, all ``requested`` ones (globs), and no others."""
+    with Replaced(stats.sparkSession, path, requested):
+        (
+            stats.hint("rebalance", *HOUR_PARTITIONS).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_PARTITIONS).orc(path)
+        )
 
 
-def write_hour_tsv(stats: DataFrame, path: str) -> DataFrame:
-    return write_delimited(stats.hint("rebalance", *HOUR_PARTITIONS), path, "\t", partition_by=HOUR_PARTITIONS)
+def write_hour_tsv(stats: DataFrame, path: str, requested: Sequence[str] = ()) -> DataFrame:
+    with Replaced(stats.sparkSession, path, requested):
+        return write_delimited(stats.hint("rebalance", *HOUR_PARTITIONS), path, "\t", partition_by=HOUR_PARTITIONS)
 
 
-def write_day_tsv(stats: DataFrame, path: str, table: str) -> DataFrame:
+def write_day_tsv(stats: DataFrame, path: str, table: str, requested: Sequence[str] = ()) -> DataFrame:
     """TSV by house and day. ``hid`` is also the first field of every line."""
     fields = [F.col("hid").alias("house"), *DAY_COLUMNS[table][1:]]
     rows = stats.select(*fields, "hid", F.col("day").alias("d")).hint("rebalance", "hid", "d")
-    return write_delimited(rows, path, "\t", partition_by=["hid", "d"])
+    with Replaced(stats.sparkSession, path, requested):
+        return write_delimited(rows, path, "\t", partition_by=["hid", "d"])

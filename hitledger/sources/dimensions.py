@@ -27,8 +27,7 @@ def as_suffix_lists(suffixes: DataFrame, limit: int = MAX_LITERALS) -> SuffixLis
     rows = suffixes.where(F.col("kind").isin("in", "area", "country")).distinct().take(limit + 1)
     if len(rows) > limit:
         return suffixes
-    pick = lambda kind: tuple(sorted(r["value"] for r in rows if r["kind"] == kind))
-    return SuffixLists(generic=pick("in"), area=pick("area"), country=pick("country"))
+    return SuffixLists.of(rows)
 
 
 def read_foreign_suffixes(

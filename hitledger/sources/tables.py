@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 
 from hitledger.functions.times import days_between, parse_param
 from hitledger.operators.search import in_buckets
-from hitledger.schema import ACCESS_LOG_TABLE, HOUR_TABLES, LAYOUT_COLUMNS
+from hitledger.schema import ACCESS_LOG_TABLE, HOUR_TABLES, LAYOUT_COLUMNS, PARTITION_COLUMNS
 from hitledger.workspace import matching_paths
 
-# A scan names its day directories up to here; a longer window lists the table.
-MAX_NAMED_DAYS = 400
-
-
 def _scan(spark: SparkSession, root: str, globs: list[str], schema) -> DataFrame:
     """ORC below ``root``, listing only the directories the globs match."""
     found = matching_paths(spark, [f"{root}/{g}" if g else root for g in globs])
@@ -25,14 +21,41 @@ def _scan(spark: SparkSession, root: str, globs: list[str], schema) -> DataFrame
     return spark.read.schema(schema).option("basePath", root).orc(found)
 
 
-def _glob(begin: datetime | None, end: datetime | None, hids: Sequence[int | str] | None) -> list[str]:
+def partition_globs(
+    begin: datetime | None, end: datetime | None, hids: Sequence[int | str] | None, levels: Sequence[str] = PARTITION_COLUMNS
+) -> list[str]:
+    """Directories of a table partitioned by ``levels`` that touch [begin, end], and no others.
+
+    Whole days are named by day, whole hours of the days at the edges by hour, and the rest by bucket.
+    """
     house = "hid=" + (f"{{{','.join(map(str, hids))}}}" if hids else "*")
+    front = f"{house}/" if "hid" in levels else ""
     if begin is None or end is None:
-        return [house] if hids else [""]
+        return [house] if hids and front else [""]
+    if begin > end:
+        return []
     days = days_between(begin, end)
-    if len(days) > MAX_NAMED_DAYS:
-        return [house] if hids else [""]
-    return [f"{house}/d={{{','.join(days)}}}"]
+    if "h" not in levels:
+        return [f"{front}d={{{','.join(days)}}}"]
+    first, last = days[0], days[-1]
+    lows = {first: begin.hour * 60 + begin.minute if begin.hour or begin.minute else 0}
+    highs = {last: end.hour * 60 + end.minute}
+    globs, whole = [], []
+    for day in days:
+        low, high = lows.get(day, 0), highs.get(day, 24 * 60 - 1)
+        if low < 5 and high >= 24 * 60 - 5:
+            whole.append(day)
+            continue
+        hours = []
+        for hour in range(low // 60, high // 60 + 1):
+            minutes = [m for m in range(0, 60, 5) if low // 5 * 5 <= hour * 60 + m <= high]
+            if "m5" in levels and len(minutes) < 12:
+                globs.append(f"{front}d={day}/h={hour:02d}/m5={{{','.join(f'{m:02d}' for m in minutes)}}}")
+            else:
+                hours.append(f"{hour:02d}")
+        if hours:
+            globs.append(f"{front}d={day}/h={{{','.join(hours)}}}")
+    return globs + ([f"{front}d={{{','.join(whole)}}}"] if whole else [])
 
 
 def read_access_log(
@@ -41,15 +64,16 @@ def read_access_log(
     begin: str | datetime | None = None,
     end: str | datetime | None = None,
     hids: Sequence[int] | None = None,
+    by: Sequence[str] = PARTITION_COLUMNS,
 ) -> DataFrame:
     """The published log, narrowed to the 5-minute buckets that touch [begin, end].
 
-    Buckets that do not exist contribute nothing; if none exists the result is
+    ``by`` are the directory levels the log was published with. Buckets that do not exist contribute nothing; if none exists the result is
     empty. Rows are not cut at the exact second: that is
     :func:`hitledger.operators.search.in_time_range`.
     """
     begin, end = (None if t is None else parse_param(t) for t in (begin, end))
-    log = _scan(spark, root, _glob(begin, end, hids), ACCESS_LOG_TABLE)
+    log = _scan(spark, root, partition_globs(begin, end, hids, by), ACCESS_LOG_TABLE)
     if begin is not None and end is not None:
         log = log.where(in_buckets(begin, end))
     return log
@@ -67,9 +91,9 @@ def read_hour_stats(
     if begin is not None:
         begin = parse_param(begin)
         if end is None:
-            begin, end = begin.replace(hour=0), begin.replace(hour=23)
+            begin, end = begin.replace(hour=0, minute=0), begin.replace(hour=23, minute=59)
         end = parse_param(end)
-    stats = _scan(spark, f"{root}/{table}", _glob(begin, end, hids), HOUR_TABLES[table])
+    stats = _scan(spark, f"{root}/{table}", partition_globs(begin, end, hids, ["hid", "d", "h"]), HOUR_TABLES[table])
     if begin is None:
         return stats
     return stats.where(

@@ -13,36 +13,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hitledger.functions.times import epoch_text
 from hitledger.operators.ingest import drop_late_by
 from hitledger.schema import PARTITION_COLUMNS
 from hitledger.sinks.log_table import publish
 from hitledger.sources.lines import parse_tolerant
 
 
-def line_stream(spark: SparkSession, glob: str, max_files: int | None = None) -> DataFrame:
-    """New lines below ``glob`` with the file they came from."""
-    reader = spark.readStream.format("text")
+# A file counts however much older it is than the newest one: restored files have old times.
+ANY_AGE = "1000000d"
+
+
+def line_stream(
+    spark: SparkSession, glob: str, max_files: int | None = None, archive: str | None = None
+) -> DataFrame:
+    """New lines below ``glob`` with the file they came from; taken files move to ``archive`` if given."""
+    reader = spark.readStream.format("text").option("maxFileAge", ANY_AGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(glob).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
-def load_time_of(file_path: str = "file_path", modified: str = "modified") -> Column:
-    """Load time of a line: its minute directory (yyyyMMddHHmm), else its file's time."""
+def load_time_of(file_path: str = "file_path", modified: str = "modified", zone: str | None = None) -> Column:
+    """Load time of a line: its minute directory (yyyyMMddHHmm), else its file's time in ``zone``, like the lines' own."""
     minute = F.regexp_extract(file_path, r"[/=](\d{12})[^/]*/", 1)
     text = F.concat(
         minute.substr(1, 4), F.lit("-"), minute.substr(5, 2), F.lit("-"), minute.substr(7, 2), F.lit(" "),
         minute.substr(9, 2), F.lit(":"), minute.substr(11, 2), F.lit(":00"),
     )
-    return F.coalesce(text.try_cast("timestamp_ntz"), F.col(modified).cast("timestamp_ntz"))
+    file_time = epoch_text(F.unix_seconds(modified).cast("string"), zone)
+    return F.coalesce(text.try_cast("timestamp_ntz"), file_time.try_cast("timestamp_ntz"))
 
 
 def fit_rows(lines: DataFrame, zone: str | None = None) -> DataFrame:
     """Parsed rows, late ones dropped against their own load time."""
-    with_load = lines.select("value", load_time_of().alias("load_time"))
+    with_load = lines.select("value", load_time_of(zone=zone).alias("load_time"))
     return drop_late_by(parse_tolerant(with_load, "load_time", zone=zone), F.col("load_time")).drop("load_time")
 
 

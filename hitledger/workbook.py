@@ -6,9 +6,11 @@ Each takes (spark, sf_dir) and returns a DataFrame over the whole derived log.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hitledger.functions.domains import add_top_domain
 from hitledger.functions.net import ip_to_long
@@ -19,13 +21,16 @@ from hitledger.operators.cells import to_cells
 from hitledger.operators.ingest import drop_late, ingest_rows
 from hitledger.operators.search import search, search_both, search_lines
 from hitledger.plans.compact import merge_files
+from hitledger.plans.day import MERGES, run_day_stats
+from hitledger.plans.hour import run_hour_stats, run_legal_hour_stats
+from hitledger.plans.search import run_search
 from hitledger.sinks.delimited import answer_lines, house_lines, write_delimited
 from hitledger.sinks.log_table import append, publish
 from hitledger.sinks.stat_tables import write_day_tsv
 from hitledger.sources import demo, lines
-from hitledger.sources.tables import read_access_log, read_day_domains
+from hitledger.sources.tables import read_access_log, read_day_domains, read_hour_stats
 from hitledger.streaming import hourly, intake
-from hitledger.workspace import stage_dir
+from hitledger.workspace import Files, stage_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,8 +38,10 @@ QUERIES: dict[str, Query] = {}
 ASKED_AT = "2024-01-15 12:00:00"
 LOAD_TIME = "202401151200"
 SEARCH_BEGIN, SEARCH_END = "2024-01-05 10:17:00", "2024-01-22 21:40:30"
-# A thin log gets day directories.
+# A thin log gets day directories, or hours by house where jobs ask for hours.
 BY_DAY = ["d"]
+BY_HOUR = ["hid", "d", "h"]
+MONTH = ("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 
 
 def query(function: Query) -> Query:
@@ -160,8 +167,8 @@ def stat_day_illegal(spark, sf_dir):
 # ---- search ---------------------------------------------------------------
 
 
-def _search(spark, sf_dir, **filters):
-    return search(demo.access_log(spark, sf_dir), SEARCH_BEGIN, SEARCH_END, **filters)
+def _search(spark, sf_dir, begin=SEARCH_BEGIN, **filters):
+    return search(demo.access_log(spark, sf_dir), begin, SEARCH_END, **filters)
 
 
 @query
@@ -189,7 +196,7 @@ def search_domain_port_proto(spark, sf_dir):
 
 @query
 def search_srcport(spark, sf_dir):
-    return _search(spark, sf_dir, srcport="1524")
+    return _search(spark, sf_dir, begin=MONTH[0], srcport="1524")
 
 
 @query
@@ -331,6 +338,70 @@ def answer_log_lines(spark, sf_dir):
     return answer_lines(domain_count_hybrid(spark, sf_dir))
 
 
+# ---- jobs over the stored log ---------------------------------------------
+
+
+def _stored_log(spark, sf_dir):
+    root = stage_dir(spark, "log")
+    publish(demo.access_log(spark, sf_dir).withColumn("batch", F.lit("b1")), root, BY_HOUR)
+    return root
+
+
+def _hour_tables(spark, sf_dir, foreign=demo.FOREIGN):
+    root = stage_dir(spark, "hours")
+    run_hour_stats(spark, _stored_log(spark, sf_dir), root, *MONTH, demo.SUFFIXES, foreign)
+    return root
+
+
+@query
+def job_hour_domain(spark, sf_dir):
+    return read_hour_stats(spark, _hour_tables(spark, sf_dir), "domain", *MONTH)
+
+
+@query
+def job_hour_foreign(spark, sf_dir):
+    root = _hour_tables(spark, sf_dir)
+    schema = stat_hour_foreign_split(spark, sf_dir).schema
+    fields = [f for f in schema if f.name not in BY_HOUR] + [f for f in schema if f.name in BY_HOUR]
+    return spark.read.schema(StructType(fields)).option("sep", "\t").csv(f"{root}/foreigndomain")
+
+
+@query
+def job_hour_legal(spark, sf_dir):
+    root = stage_dir(spark, "legal")
+    run_legal_hour_stats(spark, _stored_log(spark, sf_dir), root, *MONTH, demo.SUFFIXES, demo.house_ips(spark))
+    return read_hour_stats(spark, root, "domainip", *MONTH)
+
+
+@query
+def stat_hour_rerun(spark, sf_dir):
+    """The hour job twice, with a foreign list the second time: no domestic row of the first run stays."""
+    root, log = stage_dir(spark, "rerun"), _stored_log(spark, sf_dir)
+    for foreign in ((), demo.FOREIGN):
+        run_hour_stats(spark, log, root, *MONTH, demo.SUFFIXES, foreign)
+    return read_hour_stats(spark, root, "domain")
+
+
+@query
+def job_day_domain(spark, sf_dir):
+    root = stage_dir(spark, "days")
+    merges = {"domain": MERGES["domain"]}
+    run_day_stats(spark, _hour_tables(spark, sf_dir), root, MONTH[0], last_day=MONTH[1], merges=merges)
+    return read_day_domains(spark, root)
+
+
+@query
+def job_search(spark, sf_dir):
+    """Houses and buckets chosen by directory, the rest by pushed filters; written as CSV and read back."""
+    out = stage_dir(spark, "found")
+    run_search(
+        spark, _stored_log(spark, sf_dir), out, SEARCH_BEGIN, SEARCH_END, hids=[1001, 1003], by=BY_HOUR,
+        destport="443", srcip_begin="10.0.0.9",
+    )
+    schema = search_time_range(spark, sf_dir).schema
+    return spark.read.schema(schema).option("emptyValue", "").csv(out)
+
+
 # ---- layout, files, cells -------------------------------------------------
 
 
@@ -475,6 +546,20 @@ def stream_intake(spark, sf_dir):
     return read_access_log(spark, f"{work}/log").drop("batch")
 
 
+@query
+def stream_intake_old_files(spark, sf_dir):
+    """The same with every third file restored from years ago."""
+    glob, work = _line_files(spark, sf_dir), stage_dir(spark, "intake-old")
+    files = Files(spark, glob)
+    for number, file in enumerate(files.glob(f"{glob}/*.txt")):
+        if number % 3 == 0:
+            files.set_time(file, datetime(2001, 2, 3))
+    intake.start_intake(
+        spark, glob, f"{work}/log", f"{work}/checkpoint", zone="UTC", max_files=16, by=BY_DAY,
+    ).awaitTermination()
+    return read_access_log(spark, f"{work}/log").drop("batch")
+
+
 @query
 def stream_hour_ipportdomain(spark, sf_dir):
     work = stage_dir(spark, "hourly")

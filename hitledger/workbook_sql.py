@@ -239,7 +239,7 @@ SQL: dict[str, str] = {
     )),
     "search_ip_upper_only": _log(_search(f"{_ip('srcip')} <= 167772200")),
     "search_domain_port_proto": _log(_search("domain = 'site.cn' and destport = '443' and proctype = '1'")),
-    "search_srcport": _log(_search("srcport = '1524'")),
+    "search_srcport": _log(_search("srcport = '1524'", "2024-01-01 00:00:00")),
     "search_url_exact": _log(_search("plain_url = 'http://ththre.example.com/fr/825?page=2&ref=x'")),
     "search_url_encoded": _log(_search("plain_url = 'http://ththre.example.com/fr/825?page=2&ref=x'")),
     "search_url_prefix": _log(_search("starts_with(plain_url, 'http://')")),
@@ -329,3 +329,37 @@ SQL: dict[str, str] = {
         ) + ") group by all"
     ),
 }
+
+# Files of a partition one after the other, largest first, each into the fullest bin that takes it.
+SQL["compaction_plan"] = _files("""
+, numbered as (
+  select *, row_number() over (partition by hid, d, h, m5 order by file_size desc, file_path desc) as no
+  from files where file_size < 80 * 1048576
+), packed as (
+  select distinct hid, d, h, m5, cast(0 as bigint) as no, cast([] as struct(size bigint, last varchar, names varchar[])[]) as bins
+  from numbered
+  union all
+  select hid, d, h, m5, next, case when fit is null
+      then list_append(bins, {'size': file_size, 'last': file_path, 'names': [file_path]})
+      else list_append(list_filter(bins, lambda b: b <> fit),
+        {'size': fit.size + file_size, 'last': file_path, 'names': list_append(fit.names, file_path)}) end
+  from (
+    select p.hid, p.d, p.h, p.m5, p.bins, n.no as next, n.file_size, n.file_path,
+      list_max(list_filter(p.bins, lambda b: b.size + n.file_size < 120 * 1048576)) as fit
+    from packed p join numbered n on p.hid = n.hid and p.d = n.d and p.h = n.h and p.m5 = n.m5 and n.no = p.no + 1
+  )
+), placed as (
+  select hid, d, h, m5, unnest(b.names) as file_path, list_min(b.names) as target from (
+    select hid, d, h, m5, unnest(bins) as b from (
+      select *, max(no) over (partition by hid, d, h, m5) as last_no from packed) where no = last_no)
+  where len(b.names) > 1
+)
+select hid, d, h, m5, file_path, file_size, target, cast(1 as int) as outputs
+from placed join files using (hid, d, h, m5, file_path)""").replace("with pg as", "with recursive pg as", 1)
+
+SQL["job_hour_domain"] = SQL["stat_hour_rerun"] = SQL["stat_hour_domestic"]
+SQL["job_hour_foreign"] = SQL["stat_hour_foreign_split"]
+SQL["job_hour_legal"] = SQL["stat_hour_legal_domainip"]
+SQL["job_day_domain"] = f"select domain, sum(times)::bigint as times, topdomain from ({SQL['stat_day_domain']}) group by hid, day, domain, topdomain"
+SQL["job_search"] = _log(_search(f"hid in (1001, 1003) and destport = '443' and {_ip('srcip')} >= 167772169"))
+SQL["stream_intake_old_files"] = SQL["stream_intake"]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -13,14 +15,16 @@ _local_roots: dict[str, str] = {}
 def stage_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a session on one machine without that setting falls back to a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="hitledger-"))
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="hitledger-")
+        root = _local_roots[context.applicationId]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -56,6 +60,9 @@ class Files:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"cannot move {source} to {target}")
 
+    def set_time(self, path: str, moment: datetime) -> None:
+        self._fs.setTimes(self._at(path), int(moment.timestamp() * 1000), -1)
+
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 

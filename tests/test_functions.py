@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from hitledger.functions import domains, net, times, urls
 from hitledger.functions.sql_names import register_sql_functions
+from hitledger.sources.dimensions import as_suffix_lists
 from hitledger.sources.demo import FOREIGN, SUFFIXES
 
 TOP = {
@@ -81,17 +82,39 @@ def test_sql_names(spark):
     assert tuple(row) == (16909060, "abc.js.cn", 1)
 
 
+def test_sql_names_with_long_lists(spark):
+    kinds = [("in", f"s{i}") for i in range(2500)] + [("country", "cn"), ("area", "js.cn"), ("in", "com")]
+    suffixes = as_suffix_lists(spark.createDataFrame(kinds, "kind string, value string"))
+    foreign = spark.createDataFrame([(f"f{i}",) for i in range(2500)] + [("ru",)], "suffix string")
+    register_sql_functions(spark, suffixes, foreign)
+    row = spark.sql("select topDomain('a.b.s77'), topDomain('x.abc.js.cn'), foreignDomain('a.f9'), foreignDomain('a.com')").first()
+    assert tuple(row) == ("b.s77", "abc.js.cn", 1, 0)
+
+
 def test_epoch_text(spark):
-    cases = {"1521172762": "2018-03-16 03:59:22", "abc": None, " 12": None, "": None, "-5": "1969-12-31 23:59:55",
-             "00000000000001521172762": "2018-03-16 03:59:22", "999999999999": None}
+    cases = {"1705312922": "2024-01-15 10:02:02", "abc": None, " 12": None, "": None, "-5": "1969-12-31 23:59:55",
+             "00000000000001705312922": "2024-01-15 10:02:02",
+             "1704067200000": "55969-09-28 00:00:00", "99999999999999999999": None}
     df = spark.createDataFrame(list(cases.items()), "s string, want string")
     got = df.select("want", times.epoch_text(F.col("s"), "UTC").alias("got")).collect()
     assert all(r["want"] == r["got"] for r in got)
-    row = df.where("s = '1521172762'").select(
+    row = df.where("s = '1705312922'").select(
         times.epoch_text(F.col("s")).alias("session"), times.epoch_text(F.col("s"), "Asia/Shanghai").alias("named"),
         times.day_of(F.col("want")), times.hour_of(F.col("want")), times.five_minutes_of(F.col("want")),
     ).first()
-    assert tuple(row) == ("2018-03-16 11:59:22", "2018-03-16 11:59:22", "180316", "03", "55")
+    assert tuple(row) == ("2024-01-15 18:02:02", "2024-01-15 18:02:02", "240115", "10", "00")
+
+
+def test_far_times_have_parts(spark):
+    """Parts are cut out of the text by place; a text without a digit at the minute's place is unreadable."""
+    far = spark.createDataFrame([("1704067200000",), ("5000000000000",), ("9223372036854775807",), ("253402300800",)], "s string")
+    text = times.epoch_text(F.col("s"), "UTC").alias("t")
+    got = far.select("s", text).select("s", "t", times.day_of(F.col("t")), times.hour_of(F.col("t")), times.five_minutes_of(F.col("t"))).collect()
+    rows = {r.s: tuple(r)[1:] for r in got}
+    assert rows["1704067200000"] == ("55969-09-28 00:00:00", "969092", " 0", ":0")
+    assert rows["253402300800"][0] == "10000-01-01 00:00:00"
+    assert rows["5000000000000"][0] is None
+    assert rows["9223372036854775807"][0] is not None
 
 
 def test_bucket_of_parameter():
@@ -100,8 +123,8 @@ def test_bucket_of_parameter():
 
 
 def test_base64_url(spark):
-    url = "http://kk.90wd.cn:883/data/kj83_com.js?_=1509796872939"
-    encoded = "aHR0cDovL2trLjkwd2QuY246ODgzL2RhdGEva2o4M19jb20uanM/Xz0xNTA5Nzk2ODcyOTM5"
+    url = "http://pages.example.org:8081/list?from=20&to=40"
+    encoded = "aHR0cDovL3BhZ2VzLmV4YW1wbGUub3JnOjgwODEvbGlzdD9mcm9tPTIwJnRvPTQw"
     assert urls.encode_literal(url) == encoded
     df = spark.createDataFrame([(url,), (url * 5,), ("é",)], "url string").withColumn("b", urls.encode(F.col("url")))
     assert df.where(urls.decode(F.col("b")) != F.col("url")).count() == 0

@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from helpers import bag
+from helpers import bag, explained
 from pyspark.sql import functions as F
 
 from hitledger.operators import legality, rollup
@@ -11,10 +11,11 @@ from hitledger.plans.day import LEGAL_MERGES, run_day_stats
 from hitledger.plans.hour import run_hour_stats, run_legal_hour_stats
 from hitledger.plans.lookup import fresh_globs, run_domain_count
 from hitledger.schema import DAY_COLUMNS
-from hitledger.sinks.delimited import append_answers, write_houses
+from hitledger.operators.search import search
+from hitledger.sinks.delimited import append_answers, write_delimited, write_houses
 from hitledger.sinks.log_table import publish
 from hitledger.sources import demo, dimensions
-from hitledger.sources.tables import read_day_domains, read_hour_stats
+from hitledger.sources.tables import partition_globs, read_access_log, read_day_domains, read_hour_stats
 from hitledger.workspace import stage_dir
 
 BEGIN, END = "2024-01-10 00:00:00", "2024-01-10 23:59:59"
@@ -52,6 +53,55 @@ def test_rerun_of_one_hour_replaces_it(spark, hours):
     assert bag(read_hour_stats(spark, f"{root}/hour", "ipport")) == before
 
 
+def test_rerun_without_rows_leaves_none(spark, hours, log):
+    """Hours and days that come out empty are emptied; others are left alone."""
+    root = stage_dir(spark, "rerun")
+    rows = log.where(F.col("acctime").between(BEGIN, END)).withColumn("batch", F.lit("b1"))
+    publish(rows, f"{root}/log", by=["hid", "d", "h"])
+    job = lambda first, last, foreign: run_hour_stats(
+        spark, f"{root}/log", f"{root}/hour", first, last, demo.SUFFIXES, foreign)
+    job("2024011000", "2024011023", ())
+    before = read_hour_stats(spark, f"{root}/hour", "domain").where("h <> '11'")
+    before = bag(before)
+    foreign = ["ru", "com", "org", "net", "cn"]
+    job("2024011011", "2024011011", foreign)
+    after = read_hour_stats(spark, f"{root}/hour", "domain")
+    assert after.where("h = '11' and isforeign = 0 and domain like '%.%'").count() == 0
+    assert bag(after.where("h <> '11'")) == before
+    run_day_stats(spark, f"{root}/hour", f"{root}/day", "20240110")
+    assert read_day_domains(spark, f"{root}/day").count() > 0
+    job("2024011000", "2024011023", foreign)
+    run_day_stats(spark, f"{root}/hour", f"{root}/day", "20240110")
+    assert read_day_domains(spark, f"{root}/day").where("domain like '%.%'").count() == 0
+
+
+def test_globs_name_what_is_touched():
+    t = datetime
+    assert partition_globs(t(2024, 1, 1, 10, 57), t(2024, 1, 1, 12, 4), [7, 8]) == [
+        "hid={7,8}/d=240101/h=10/m5={55}", "hid={7,8}/d=240101/h=12/m5={00}", "hid={7,8}/d=240101/h={11}"]
+    assert partition_globs(t(2023, 12, 31, 23, 0), t(2024, 1, 2, 23, 59), None) == ["hid=*/d=231231/h={23}", "hid=*/d={240101,240102}"]
+    assert partition_globs(t(2024, 1, 1, 5), t(2024, 1, 1, 5, 59), None, ["hid", "d", "h"]) == ["hid=*/d=240101/h={05}"]
+    assert len(partition_globs(t(2020, 1, 1), t(2024, 1, 1, 23, 59), None)[0].split(",")) == 1462
+    assert partition_globs(t(2024, 1, 1, 5), t(2024, 1, 1, 6), None, ["d"]) == ["d={240101}"]
+    assert partition_globs(t(2024, 1, 2), t(2024, 1, 1), None) == []
+
+
+def test_stored_search_prunes_and_pushes(spark, hours):
+    root, rows = hours
+    begin, end = datetime(2024, 1, 10, 3), datetime(2024, 1, 10, 5, 30)
+    log = read_access_log(spark, f"{root}/log", begin, end, [1001], ["hid", "d", "h"])
+    text = explained(search(log, begin, end, destport="443", url="http://m.example.org/a", url_mode="prefix"))
+    assert "EqualTo(destport,443)" in text and "StringStartsWith(url,aHR0cDovL20uZXhhbXBsZS5vcmcv" in text
+    assert "PartitionFilters: [isnotnull(d" in text
+    assert {(r.hid, r.h) for r in log.select("hid", "h").distinct().collect()} <= {(1001, h) for h in ("03", "04", "05")}
+
+
+def test_result_keeps_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(" a", "x y ", "")], "a string, b string, c string")
+    write_delimited(df, f"{tmp_path}/csv")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/csv").collect()] == [" a,x y ,"]
+
+
 def test_day_job(spark, hours):
     root, rows = hours
     written = run_day_stats(spark, f"{root}/hour", f"{root}/day", "20240110")

@@ -15,7 +15,7 @@ def con():
 def test_contract():
     assert QUERIES.items() <= contract.queries().items()
     assert SQL.items() <= contract.oracle_sql().items()
-    assert set(QUERIES) - set(SQL) == {"compaction_plan"}
+    assert set(QUERIES) == set(SQL)
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 

@@ -1,3 +1,4 @@
+import os
 import shutil
 from datetime import datetime
 
@@ -57,6 +58,22 @@ def test_retried_batch_replaces_itself(spark, tmp_path, inbox):
     assert _run(spark, tmp_path).count() == 2
 
 
+def test_old_files_count_too(spark, tmp_path, inbox):
+    for number, name in enumerate(("a.txt", "b.txt", "c.txt")):
+        _drop_in(inbox, "202401011200", name, number)
+    os.utime(inbox / "202401011200" / "1001" / "b.txt", (1_000_000_000, 1_000_000_000))
+    assert _run(spark, tmp_path).count() == 3
+
+
+def test_file_time_is_in_the_zone_of_the_lines(spark, tmp_path, inbox):
+    """The session's zone is another one."""
+    folder = inbox / "other" / "1001"
+    folder.mkdir(parents=True)
+    (folder / "f.txt").write_text("".join(LINE.format(port=i, second=SECOND - age) + "\n" for i, age in enumerate((0, 7199, 7300))))
+    os.utime(folder / "f.txt", (SECOND, SECOND))
+    assert sorted(int(r.srcport) for r in _run(spark, tmp_path).collect()) == [0, 1]
+
+
 def test_load_time_falls_back_to_the_file(spark):
     df = spark.createDataFrame(
         [("file:/in/202401011205_x/1001/f.txt",), ("file:/in/other/f.txt",)], "file_path string"
