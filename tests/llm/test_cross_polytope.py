@@ -44,8 +44,8 @@ def test_recall_on_tables(spark, sf):
 
 def test_few_vectors_ties_and_repeats(spark):
     rng = np.random.default_rng(1)
-    rows = [(i, rng.normal(size=6).tolist()) for i in range(7)] + [(i, [1.0, 0, 0, 0, 0, 0]) for i in range(50, 54)]
-    rows += [(50, [1.0, 0, 0, 0, 0, 0]), (60, [3.0, 4.0]), (61, [3.0, 5.0])]
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(7)] + [(i, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(50, 54)]
+    rows += [(50, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (60, [3.0, 4.0]), (61, [3.0, 5.0])]
     vectors = spark.createDataFrame(rows, SCHEMA)
     got = found(neighbours(vectors, vectors))
     assert got == by_brute_force(rows, [i for i, _ in rows])

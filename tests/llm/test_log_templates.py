@@ -53,7 +53,7 @@ def test_sample_table(spark):
 
 
 def test_variable_fields_and_clean_lines(spark):
-    rows = [(i, f"Own text number {chr(97 + i % 26)}{chr(97 + i // 26)} here\nPosted by user{i} on day {i * 7} in city {'abcdefghij'[i % 10] * 3}\nuntouched words {chr(97 + i)} only") for i in range(20)]
+    rows = [(i, f"{chr(97 + i)}x Own text number here\nPosted by user{i} on day {i * 7} in city {'abcdefghij'[i % 10] * 3}\nonly {chr(97 + i)} untouched words") for i in range(20)]
     rows += [(100 + i, "All rights reserved to the authors of this page") for i in range(3)]
     got = found(drop_template_lines(spark.createDataFrame(rows, "doc_id long, text string")))
     assert got == by_brute_force(rows)
