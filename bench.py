@@ -25,7 +25,9 @@ HEADLINE = [
     "compaction_plan", "compaction_size_classes",
 ]
 # These write tables; one timed run each.
-WRITING = ["ingest_idempotent", "compaction_merge", "stream_intake", "stream_hour_ipportdomain"]
+WRITING = [
+    "ingest_idempotent", "compaction_merge", "stream_intake", "stream_hour_ipportdomain", "job_hour_domain", "job_search",
+]
 
 
 def seconds(spark: SparkSession, name: str, sf_dir: str) -> float:

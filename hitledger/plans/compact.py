@@ -1,36 +1,50 @@
-"""Carry out a merge plan on the published log without losing rows.
+"""Carry out a merge plan on the published log without a reader noticing.
 
-Steps, each leaving its result on disk under ``<root>/_merge/<id>`` (scans skip
-names starting with an underscore): the plan, the merged files, a mark that the
-row counts agree, then the swap. Repeating a merge with the same id resumes
-after the last finished step; the swap itself can be repeated file by file.
+A merge leaves its state under ``<root>/_merge/<id>`` (scans skip names that
+start with an underscore) and takes these steps:
 
-While the files of a partition are swapped a reader may miss its rows, so merge
-partitions that are no longer written. A merged file no longer knows its batches: do not publish a
-batch again into merged partitions.
+1. ``plan``: which files go into which merged file.
+2. mark ``_hidden``: readers leave rows with this merge's label out, while the
+   merged files are written beside the old ones and counted.
+3. mark ``_shown`` instead, one rename: readers now take the merged files and leave the planned ones out.
+4. planned files are deleted, then the state.
+
+:func:`hitledger.sources.tables.read_access_log` goes by these marks, so at any
+moment it sees every row once. Repeating a merge with the same id resumes it.
+What was merged no longer knows its batches; their names are kept under
+``<root>/_merged``, and publishing one of them again is refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.schema import ACCESS_LOG_TABLE, PARTITION_COLUMNS, QUERY_COLUMNS
-from hitledger.sources.tables import list_files
+from hitledger.sources.tables import HIDDEN, MERGED_BATCHES, SHOWN, list_files, scan_log
 from hitledger.workspace import Files
 
+#: Planned files up to this number (about 100 bytes each) may be broadcast.
+BROADCAST_FILES = 500_000
+
 
 def planned_rows(
-    spark: SparkSession, root: str, plan: DataFrame, max_file_bytes: int | None = None, only: Column | None = None
+    spark: SparkSession,
+    root: str,
+    plan: DataFrame,
+    max_file_bytes: int | None = None,
+    only: Column | None = None,
+    within: Sequence[str] = ("",),
 ) -> DataFrame:
     """Rows of the planned files, each with the merged file it belongs to (``batch``).
 
-    Only planned files matter, so larger ones are left out at file listing.
-    Rows of a target are dealt out evenly over its output files.
+    Only directories ``within`` are listed, and only planned files matter, so
+    larger ones are left out at file listing. Rows of a target are dealt out
+    evenly over its output files.
     """
-    stored = spark.read.schema(ACCESS_LOG_TABLE).orc(root)
+    stored = scan_log(spark, root, within)
     if max_file_bytes is not None:
         stored = stored.where(F.col("_metadata.file_size") <= max_file_bytes)
     if only is not None:
@@ -52,57 +66,60 @@ def merge_files(
     make_plan: Callable[[DataFrame], DataFrame],
     only: Column | None = None,
     by: Sequence[str] = PARTITION_COLUMNS,
+    within: Sequence[str] = ("",),
 ) -> int:
-    """List, plan, merge, verify, swap; returns how many files were merged away.
+    """List, plan, write, verify, show, delete; returns how many files were merged away.
 
-    ``only`` restricts the merge to some partitions (a condition on hid/d/h/m5),
-    ``by`` are the directory levels the log was published with.
+    ``within`` (globs below ``root``) are the directories that are listed,
+    ``only`` is a further condition on hid/d/h/m5, ``by`` are the directory
+    levels the log was published with. ``merge_id`` is a file name.
     """
     work = f"{root}/_merge/{merge_id}"
-    plan_dir, data_dir, old_dir = f"{work}/plan", f"{work}/data", f"{work}/old"
     files = Files(spark, root)
-
-    if not files.exists(f"{plan_dir}/_SUCCESS"):
-        listing = list_files(spark, root)
-        make_plan(listing if only is None else listing.where(only)).write.mode("overwrite").parquet(plan_dir)
-    plan = spark.read.parquet(plan_dir)
+    if not files.exists(f"{work}/plan/_SUCCESS"):
+        listing = list_files(spark, root, within=within)
+        make_plan(listing if only is None else listing.where(only)).write.mode("overwrite").parquet(f"{work}/plan")
+    plan = spark.read.parquet(f"{work}/plan")
     largest, n_files = plan.agg(F.max("file_size"), F.count(F.lit(1))).first()
     if not n_files:
+        files.remove(work)
         return 0
 
-    if not files.exists(f"{work}/_verified"):
-        rows = planned_rows(spark, root, plan, largest, only)
-        labelled = rows.withColumn("batch", F.concat(F.lit(f"{merge_id}-"), "batch"))
-        (
-            labelled.repartition(*by, "batch").write.mode("overwrite")
-            .option("partitionOverwriteMode", "static").partitionBy(*by, "batch").orc(data_dir)
-        )
-        before, after = rows.count(), spark.read.schema(ACCESS_LOG_TABLE).orc(data_dir).count()
-        if before != after:
-            raise RuntimeError(f"merge {merge_id}: {before} rows read, {after} written; nothing was swapped")
-        files.make_marker(f"{work}/_verified")
-
-    _swap(files, root, plan, data_dir, old_dir, "/*=*" * len(by))
+    if not files.exists(f"{work}/{SHOWN}"):
+        files.make_marker(f"{work}/{HIDDEN}")
+        _write_merged(spark, root, merge_id, F.broadcast(plan) if n_files <= BROADCAST_FILES else plan, largest, only, by, within)
+        batches = plan.select(F.regexp_extract("file_path", "/batch=([^/]*)/", 1).alias("batch")).distinct()
+        batches.write.mode("append").parquet(f"{root}/{MERGED_BATCHES}")
+        files.move(f"{work}/{HIDDEN}", f"{work}/{SHOWN}")
+
+    _delete_all(spark, root, plan)
     files.remove(work)
     return int(n_files)
 
 
-def _swap(files: Files, root: str, plan: DataFrame, data_dir: str, old_dir: str, levels: str) -> None:
-    """Partition by partition: planned files out, merged files in. Can be repeated."""
-    root_path, data_path = files.qualified(root), files.qualified(data_dir)
-
-    def move_in(partition: str) -> None:
-        for merged in files.glob(f"{data_dir}{partition}/batch=*/*.orc"):
-            files.move(merged, root + files.qualified(merged).removeprefix(data_path))
-
-    done = None
-    for row in plan.select("file_path").orderBy("file_path").toLocalIterator():
-        source = files.qualified(row["file_path"])
-        inner = source.removeprefix(root_path)
-        partition = inner[: inner.rindex("/batch=")]
-        if done not in (None, partition):
-            move_in(done)
-        done = partition
-        if files.exists(source):
-            files.move(source, old_dir + inner)
-    move_in(levels)
+def _write_merged(spark, root, merge_id, plan, largest, only, by, within) -> None:
+    rows = planned_rows(spark, root, plan, largest, only, within)
+    seen = Observation("merged")
+    labelled = rows.withColumn("batch", F.concat(F.lit(f"{merge_id}-"), "batch")).repartition(*by, "batch")
+    (
+        labelled.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*by, "batch").orc(root)
+    )
+    merged = scan_log(spark, root, within).where(F.col("batch").startswith(f"{merge_id}-merge-"))
+    before, after = int(seen.get["n"]), merged.count()
+    if before != after:
+        raise RuntimeError(f"merge {merge_id}: {before} rows read, {after} written; nothing was swapped")
+
+
+def _delete_all(spark: SparkSession, root: str, plan: DataFrame) -> None:
+    """Directories that hold planned files only go whole, one call each; others file by file."""
+    files = Files(spark, root)
+    folder = F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")
+    for row in plan.groupBy(folder).agg(F.collect_list("file_path").alias("own")).toLocalIterator():
+        present = {files.qualified(f) for f in files.glob(f"{row['folder']}/[!_.]*")}
+        own = {files.qualified(f) for f in row["own"]}
+        if present <= own:
+            files.remove(row["folder"])
+        else:
+            for file in own & present:
+                files.remove(file)

@@ -2,23 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.operators.ingest import ingest_rows
-from hitledger.sinks.log_table import append, publish
+from hitledger.schema import PARTITION_COLUMNS
+from hitledger.sinks.log_table import append, publish, register_batch
 from hitledger.sources.lines import parse_tolerant, read_lines
+from hitledger.sources.tables import MERGED_BATCHES
+from hitledger.workspace import Files
 
 
 def run_ingest(
     spark: SparkSession, input_path: str, root: str, batch_id: str, load_time: str | datetime,
-    zone: str | None = None, balance: bool = True,
+    zone: str | None = None, balance: bool = True, table: str | None = None,
+    by: Sequence[str] = PARTITION_COLUMNS,
 ) -> None:
-    """Parse, drop late rows, publish. Safe to repeat for the same ``batch_id``."""
+    """Parse, drop late rows, publish. Safe to repeat for the same ``batch_id``.
+
+    Rows that the stream took from a minute directory of this name are replaced
+    too. A batch that was merged with others is refused, since its rows cannot be
+    told any more. With ``table``, the partitions written are registered there.
+    """
+    files = Files(spark, root)
+    if files.exists(f"{root}/{MERGED_BATCHES}"):
+        merged = spark.read.schema("batch string").parquet(f"{root}/{MERGED_BATCHES}")
+        taken = F.col("batch").startswith(f"{batch_id}.") | (F.col("batch") == batch_id)
+        if not merged.where(taken).isEmpty():
+            raise ValueError(f"batch {batch_id} was merged with others; it cannot be published again")
     rows = ingest_rows(read_lines(spark, input_path), load_time, batch_id, zone)
-    publish(rows, root, balance=balance)
+    publish(rows, root, by, balance=balance)
+    levels = "/".join("*=*" for _ in by)
+    for folder in files.glob(f"{root}/{levels}/batch={batch_id}.*"):
+        files.remove(folder)
+    if table is not None:
+        register_batch(spark, table, root, batch_id, by)
 
 
 def run_append(spark: SparkSession, input_path: str, root: str, batch_id: str, zone: str | None = None) -> None:

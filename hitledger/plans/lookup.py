@@ -16,8 +16,8 @@ from hitledger.workspace import matching_paths
 
 
 def fresh_globs(root: str, now: datetime) -> list[str]:
-    """Minute directories of the previous and the current hour, across midnight too."""
-    return [f"{root}/{moment:%Y%m%d%H}*" for moment in (now - timedelta(hours=1), now)]
+    """Finished minute directories of the previous and the current hour, across midnight too."""
+    return [f"{root}/{moment:%Y%m%d%H}*done" for moment in (now - timedelta(hours=1), now)]
 
 
 def run_domain_count(
@@ -47,5 +47,7 @@ def run_domain_count(
         read[granularity](), domains_of(lines, n_fields), domain, batch_id=batch_id or asked_at,
         asked_at=asked_at, query_day=query_day, suffixes=suffixes, count_fresh=count_fresh,
     )
+    # One or two rows: counted once, then both logged and returned.
+    answer = spark.createDataFrame(answer.collect(), answer.schema)
     append_answers(answer, result_log)
     return answer

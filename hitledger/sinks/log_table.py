@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
+from hitledger.functions.text import sql_literal
 from hitledger.schema import LAYOUT_COLUMNS, PARTITION_COLUMNS, QUERY_COLUMNS
+from hitledger.workspace import Files
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -48,17 +50,32 @@ def create_log_table(spark: SparkSession, table: str, root: str) -> None:
     """Catalog table over the published log."""
     columns = ", ".join(f"{c} string" for c in QUERY_COLUMNS)
     spark.sql(
-        f"create table if not exists {table} ({columns}, hid int, d string, h string, m5 string, batch string) "
-        f"using orc partitioned by ({', '.join(LAYOUT_COLUMNS)}) location '{root}'"
+        f"create table if not exists {_name(table)} ({columns}, hid int, d string, h string, m5 string, batch string) "
+        f"using orc partitioned by ({', '.join(LAYOUT_COLUMNS)}) location {sql_literal(root)}"
     )
 
 
 def register_partitions(spark: SparkSession, table: str) -> None:
     """Make the catalog find every partition directory written so far."""
-    spark.sql(f"msck repair table {table}")
+    spark.sql(f"msck repair table {_name(table)}")
+
+
+def register_batch(
+    spark: SparkSession, table: str, root: str, batch_id: str, by: Sequence[str] = PARTITION_COLUMNS
+) -> None:
+    """Register the partitions that one batch wrote, and no others."""
+    levels = "/".join("*=*" for _ in by)
+    for folder in Files(spark, root).glob(f"{root}/{levels}/batch={batch_id}"):
+        parts = dict(part.split("=", 1) for part in folder.split("/")[-len(by) - 1 :])
+        register_partition(spark, table, **parts)
 
 
 def register_partition(spark: SparkSession, table: str, **values: str | int) -> None:
     """One partition, known beforehand: hid, d, h, m5, batch."""
-    spec = ", ".join(f"{name}='{values[name]}'" for name in LAYOUT_COLUMNS)
-    spark.sql(f"alter table {table} add if not exists partition ({spec})")
+    spec = ", ".join(f"{name}={sql_literal(str(values[name]))}" for name in LAYOUT_COLUMNS)
+    spark.sql(f"alter table {_name(table)} add if not exists partition ({spec})")
+
+
+def _name(table: str) -> str:
+    """A table's name, quoted part by part."""
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in table.split("."))

@@ -35,7 +35,7 @@ _DOMAIN = f"""case page_id % 8
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``access_log`` rows with their ``event_id`` and unix ``second``."""
+    """``access_log`` rows with their ``event_id``, unix ``second`` and event ``amount``."""
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     pages = spark.read.schema(PAGES).parquet(f"{sf_dir}/pages.parquet")
     n_pages = pages.agg(F.count(F.lit(1))).scalar()
@@ -54,10 +54,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case event_id % 3 when 0 then '80' when 1 then '443' else '8080' end as destport",
         "cast(cast(floor(value) as bigint) as string) as duration",
         "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) as second",
+        "value as amount",
     )
     page_side = pages.select("page_id", F.expr(_DOMAIN).alias("domain"), encode(F.col("url")).alias("url"))
-    # Pages are few beside events and unique by id: hashing them spares sorting the events.
-    return event_side.join(page_side.hint("shuffle_hash"), "page_id").drop("page_id")
+    return event_side.join(page_side, "page_id").drop("page_id")
 
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,4 +89,4 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 8, F.concat(value, F.lit("||")))                             # empty fields at the end
         .otherwise(value)
     )
-    return raw_lines(spark, sf_dir).select("event_id", damaged.alias("value"))
+    return raw_lines(spark, sf_dir).select("event_id", "acctime", damaged.alias("value"))

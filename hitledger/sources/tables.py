@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 from hitledger.functions.times import days_between, parse_param
 from hitledger.operators.search import in_buckets
 from hitledger.schema import ACCESS_LOG_TABLE, HOUR_TABLES, LAYOUT_COLUMNS, PARTITION_COLUMNS
-from hitledger.workspace import matching_paths
+from hitledger.workspace import Files, matching_paths
+
+# Names below a log's root, which scans skip.
+HIDDEN, SHOWN, MERGED_BATCHES = "_hidden", "_shown", "_merged"
+
 
 def _scan(spark: SparkSession, root: str, globs: list[str], schema) -> DataFrame:
     """ORC below ``root``, listing only the directories the globs match."""
@@ -21,6 +25,34 @@ def _scan(spark: SparkSession, root: str, globs: list[str], schema) -> DataFrame
     return spark.read.schema(schema).option("basePath", root).orc(found)
 
 
+def scan_log(spark: SparkSession, root: str, globs: Sequence[str] = ("",)) -> DataFrame:
+    """The log's files as they lie there, whatever merges are under way."""
+    return _scan(spark, root, list(globs), ACCESS_LOG_TABLE)
+
+
+def _merge_states(spark: SparkSession, root: str) -> dict[str, bool]:
+    """Merges under way, and whether their result counts already."""
+    files = Files(spark, root)
+    found = {state: files.glob(f"{root}/_merge/*/{state}") for state in (HIDDEN, SHOWN)}
+    return {path.rsplit("/", 2)[1]: state == SHOWN for state, paths in found.items() for path in paths}
+
+
+def _visible_log(spark: SparkSession, root: str, globs: Sequence[str]) -> DataFrame:
+    """Every row once: of a merge under way either the planned files or the merged ones."""
+    states = None
+    while states != (now := _merge_states(spark, root)):  # listed between two equal looks at the marks
+        states = now
+        log = scan_log(spark, root, globs)
+    for merge_id, shown in states.items():
+        if not shown:
+            log = log.where(~F.col("batch").startswith(f"{merge_id}-merge-"))
+            continue
+        gone = spark.read.parquet(f"{root}/_merge/{merge_id}/plan").select(F.col("file_path").alias("_gone"))
+        columns = log.columns
+        log = log.withColumn("_file", F.col("_metadata.file_path")).join(gone, F.col("_file") == F.col("_gone"), "left_anti").select(columns)
+    return log
+
+
 def partition_globs(
     begin: datetime | None, end: datetime | None, hids: Sequence[int | str] | None, levels: Sequence[str] = PARTITION_COLUMNS
 ) -> list[str]:
@@ -73,7 +105,7 @@ def read_access_log(
     :func:`hitledger.operators.search.in_time_range`.
     """
     begin, end = (None if t is None else parse_param(t) for t in (begin, end))
-    log = _scan(spark, root, partition_globs(begin, end, hids, by), ACCESS_LOG_TABLE)
+    log = _visible_log(spark, root, partition_globs(begin, end, hids, by))
     if begin is not None and end is not None:
         log = log.where(in_buckets(begin, end))
     return log
@@ -122,15 +154,18 @@ def read_day_domains(spark: SparkSession, root: str, day: str | datetime | None
     )
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*.orc") -> DataFrame:
-    """One row per data file of the published log; file contents are not read.
+def list_files(spark: SparkSession, root: str, glob: str = "*.orc", within: Sequence[str] = ("",)) -> DataFrame:
+    """One row per data file of the published log below the globs ``within``; file contents are not read.
 
     A partition level the layout does not have is an empty string.
     """
     path = F.col("_metadata.file_path")
+    found = matching_paths(spark, [f"{root}/{g}" if g else root for g in within])
+    if not found:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in (*LAYOUT_COLUMNS, "file_path")) + ", file_size bigint")
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).load(root)
+        .option("pathGlobFilter", glob).load(found)
     )
     levels = [F.regexp_extract(path, f"/{name}=([^/]*)/", 1).alias(name) for name in LAYOUT_COLUMNS]
     return listing.select(*levels, path.alias("file_path"), F.col("_metadata.file_size").alias("file_size"))

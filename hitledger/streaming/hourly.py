@@ -7,23 +7,35 @@ retried batch replaces its own partials.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hitledger.functions.times import parse_param
 from hitledger.operators import rollup
+from hitledger.sinks.stat_tables import HOUR_PARTITIONS, write_hour_table
+from hitledger.sources.tables import partition_globs
+from hitledger.workspace import Files, matching_paths
 
 KEYS = ["hid", "d", "h", "destip", "destport", "domain", "proctype"]
 
 
+PARTIALS = (
+    "hid int, destip string, destport string, domain string, proctype string, firsttime timestamp_ntz,"
+    " activetime timestamp_ntz, times bigint, d string, h string, epoch bigint"
+)
+
+
 def start_hour_partials(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Partial ``ipportdomain`` statistics of every micro-batch of a log stream."""
+    """Partial ``ipportdomain`` statistics of every micro-batch of a log stream, by hour."""
 
     def write_partials(rows: DataFrame, number: int) -> None:
         partials = rollup.merge(rollup.hits(rows), KEYS).withColumn("epoch", F.lit(number))
         (
             partials.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch").parquet(path)
+            .partitionBy("d", "h", "epoch").parquet(path)
         )
 
     return (
@@ -32,9 +44,35 @@ def start_hour_partials(log: DataFrame, path: str, checkpoint: str) -> Streaming
     )
 
 
-def read_hour_partials(spark: SparkSession, path: str) -> DataFrame:
-    """``ipportdomain`` hour statistics so far: the same rows a batch job would give."""
-    return rollup.hour_ipportdomain(spark.read.parquet(path).drop("epoch"))
+def read_hour_partials(
+    spark: SparkSession, path: str, begin: str | datetime | None = None, end: str | datetime | None = None
+) -> DataFrame:
+    """``ipportdomain`` hour statistics so far: the same rows a batch job would give.
+
+    With ``begin`` and ``end`` only the hours that touch them are listed and read.
+    """
+    globs = [""]
+    if begin is not None and end is not None:
+        globs = partition_globs(parse_param(begin), parse_param(end), None, ["d", "h"])
+    found = matching_paths(spark, [f"{path}/{glob}" if glob else path for glob in globs])
+    if not found:
+        return rollup.hour_ipportdomain(spark.createDataFrame([], PARTIALS))
+    partials = spark.read.schema(PARTIALS).option("basePath", path).parquet(*found)
+    return rollup.hour_ipportdomain(partials.drop("epoch"))
+
+
+def fold_hours(spark: SparkSession, path: str, out_root: str, begin: str | datetime, end: str | datetime) -> None:
+    """Hours that nothing is added to any more: into the hour table, and out of the partials.
+
+    Repeating it before the partials are gone gives the same hours.
+    """
+    begin, end = parse_param(begin), parse_param(end)
+    hours = partition_globs(begin, end, None, HOUR_PARTITIONS)
+    write_hour_table(read_hour_partials(spark, path, begin, end), f"{out_root}/ipportdomain", hours)
+    files = Files(spark, path)
+    for glob in partition_globs(begin, end, None, ["d", "h"]):
+        for folder in files.glob(f"{path}/{glob}"):
+            files.remove(folder)
 
 
 def closed_hours(log: DataFrame, delay: str = "2 hours") -> DataFrame:

@@ -2,7 +2,8 @@
 
 The checkpoint remembers which files were taken. Files that turn up later, in a
 minute directory already taken, simply form a new batch. A batch that is retried
-replaces its own output, because its label is the batch number.
+replaces its own output, because its label ends with the batch number; it begins
+with the minute directory, so that a batch job over that directory replaces it.
 """
 
 from __future__ import annotations
@@ -39,9 +40,14 @@ def line_stream(
     )
 
 
+def minute_of(file_path: str = "file_path") -> Column:
+    """The minute directory of a file, empty if there is none."""
+    return F.regexp_extract(file_path, r"[/=](\d{12})[^/]*/", 1)
+
+
 def load_time_of(file_path: str = "file_path", modified: str = "modified", zone: str | None = None) -> Column:
     """Load time of a line: its minute directory (yyyyMMddHHmm), else its file's time in ``zone``, like the lines' own."""
-    minute = F.regexp_extract(file_path, r"[/=](\d{12})[^/]*/", 1)
+    minute = minute_of(file_path)
     text = F.concat(
         minute.substr(1, 4), F.lit("-"), minute.substr(5, 2), F.lit("-"), minute.substr(7, 2), F.lit(" "),
         minute.substr(9, 2), F.lit(":"), minute.substr(11, 2), F.lit(":00"),
@@ -52,8 +58,9 @@ def load_time_of(file_path: str = "file_path", modified: str = "modified", zone:
 
 def fit_rows(lines: DataFrame, zone: str | None = None) -> DataFrame:
     """Parsed rows, late ones dropped against their own load time."""
-    with_load = lines.select("value", load_time_of(zone=zone).alias("load_time"))
-    return drop_late_by(parse_tolerant(with_load, "load_time", zone=zone), F.col("load_time")).drop("load_time")
+    with_load = lines.select("value", load_time_of(zone=zone).alias("load_time"), minute_of().alias("minute"))
+    parsed = parse_tolerant(with_load, "load_time", "minute", zone=zone)
+    return drop_late_by(parsed, F.col("load_time")).drop("load_time")
 
 
 def start_intake(
@@ -66,13 +73,17 @@ def start_intake(
     zone: str | None = None,
     max_files: int | None = None,
     by: Sequence[str] = PARTITION_COLUMNS,
+    balance: bool = True,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Take everything that is there, then stop; schedule it as often as needed."""
 
     def publish_batch(rows: DataFrame, number: int) -> None:
-        publish(rows.withColumn("batch", F.lit(f"{name}-{number:010d}")), root, by)
+        minute = F.when(F.col("minute") != "", F.col("minute")).otherwise(name)
+        label = F.concat(minute, F.lit(f".{number:010d}"))
+        publish(rows.withColumn("batch", label).drop("minute"), root, by, balance)
 
-    rows = fit_rows(line_stream(spark, glob, max_files), zone)
+    rows = fit_rows(line_stream(spark, glob, max_files, archive), zone)
     return (
         rows.writeStream.foreachBatch(publish_batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()

@@ -117,8 +117,10 @@ def stat_hour_illegal(spark, sf_dir):
 
 @query
 def legality_flag(spark, sf_dir):
-    flagged = legality.flag_legal(demo.access_log(spark, sf_dir), demo.house_ips(spark), demo.SUFFIXES)
-    return flagged.groupBy("hid", "topdomain", "iflegal").agg(F.count(F.lit(1)).alias("times"))
+    """Counted by address first, so that the list meets aggregated rows."""
+    counted = demo.access_log(spark, sf_dir).groupBy("hid", "domain", "destip").agg(F.count(F.lit(1)).alias("times"))
+    flagged = legality.flag_legal(counted, demo.house_ips(spark), demo.SUFFIXES)
+    return flagged.groupBy("hid", "topdomain", "iflegal").agg(F.sum("times").alias("times"))
 
 
 # ---- daily statistics -----------------------------------------------------
@@ -363,7 +365,7 @@ def job_hour_foreign(spark, sf_dir):
     root = _hour_tables(spark, sf_dir)
     schema = stat_hour_foreign_split(spark, sf_dir).schema
     fields = [f for f in schema if f.name not in BY_HOUR] + [f for f in schema if f.name in BY_HOUR]
-    return spark.read.schema(StructType(fields)).option("sep", "\t").csv(f"{root}/foreigndomain")
+    return spark.read.schema(StructType(fields)).option("sep", "\t").csv(f"{root}/foreigndomain").fillna("", "topdomain")
 
 
 @query
@@ -450,17 +452,13 @@ def cells_unpivot(spark, sf_dir):
 def _files(spark, sf_dir):
     """A file listing: every event is a file of ``value`` MB in its house and half day."""
     acctime = F.col("acctime")
-    events = demo.requests(spark, sf_dir).select("event_id", "hid", "acctime")
-    sizes = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", F.floor(F.col("value") * compaction.MB).cast("bigint").alias("file_size")
-    )
     half = F.when(acctime.substr(12, 2) < "12", "00").otherwise("12")
-    return events.join(sizes, "event_id").select(
+    return demo.requests(spark, sf_dir).select(
         F.col("hid").cast("string").alias("hid"),
         F.concat(acctime.substr(3, 2), acctime.substr(6, 2), acctime.substr(9, 2)).alias("d"),
         half.alias("h"), F.lit("00").alias("m5"),
         F.concat(F.lit("part-"), F.lpad(F.col("event_id").cast("string"), 12, "0"), F.lit(".orc")).alias("file_path"),
-        "file_size",
+        F.floor(F.col("amount") * compaction.MB).cast("bigint").alias("file_size"),
     )
 
 
@@ -529,10 +527,8 @@ def _line_files(spark, sf_dir):
     """Raw lines as files, one directory per day, named after the minute of arrival (noon)."""
     root = stage_dir(spark, "lines")
     day = F.translate(F.col("acctime").substr(1, 10), "-", "")
-    arrived = demo.damaged_lines(spark, sf_dir).join(
-        demo.raw_lines(spark, sf_dir).select("event_id", F.concat(day, F.lit("1200")).alias("minute")), "event_id"
-    )
-    arrived.select("value", "minute").hint("rebalance", "minute").write.partitionBy("minute").text(root)
+    arrived = demo.damaged_lines(spark, sf_dir).select("value", F.concat(day, F.lit("1200")).alias("minute"))
+    arrived.hint("rebalance", "minute").write.partitionBy("minute").text(root)
     return f"{root}/*"
 
 
@@ -569,6 +565,17 @@ def stream_hour_ipportdomain(spark, sf_dir):
     return hourly.read_hour_partials(spark, f"{work}/partials")
 
 
+@query
+def stream_hour_folded(spark, sf_dir):
+    """Partials of all hours of the month folded into the hour table."""
+    work = stage_dir(spark, "folded")
+    stream = intake.line_stream(spark, _line_files(spark, sf_dir), max_files=16)
+    log = lines.parse_tolerant(stream, zone="UTC")
+    hourly.start_hour_partials(log, f"{work}/partials", f"{work}/checkpoint").awaitTermination()
+    hourly.fold_hours(spark, f"{work}/partials", f"{work}/hours", *MONTH)
+    return read_hour_stats(spark, f"{work}/hours", "ipportdomain", *MONTH)
+
+
 @query
 def compaction_merge(spark, sf_dir):
     """Three batches published, their small files merged: same rows, fewer files."""

@@ -363,3 +363,4 @@ SQL["job_hour_legal"] = SQL["stat_hour_legal_domainip"]
 SQL["job_day_domain"] = f"select domain, sum(times)::bigint as times, topdomain from ({SQL['stat_day_domain']}) group by hid, day, domain, topdomain"
 SQL["job_search"] = _log(_search(f"hid in (1001, 1003) and destport = '443' and {_ip('srcip')} >= 167772169"))
 SQL["stream_intake_old_files"] = SQL["stream_intake"]
+SQL["stream_hour_folded"] = f"select * from ({SQL['stream_hour_ipportdomain']}) where d > '1'"

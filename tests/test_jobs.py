@@ -154,7 +154,7 @@ def test_domain_count_job(spark, hours, tmp_path):
 
 
 def test_fresh_lines_across_midnight():
-    assert fresh_globs("/r", datetime(2024, 1, 1, 0, 30)) == ["/r/2023123123*", "/r/2024010100*"]
+    assert fresh_globs("/r", datetime(2024, 1, 1, 0, 30)) == ["/r/2023123123*done", "/r/2024010100*done"]
 
 
 def test_dimensions(spark, tmp_path):

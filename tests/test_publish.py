@@ -8,7 +8,7 @@ from hitledger.operators.ingest import ingest_rows
 from hitledger.plans import compact
 from hitledger.plans.ingest import run_append, run_ingest
 from hitledger.schema import QUERY_COLUMNS
-from hitledger.sinks.log_table import create_log_table, publish, register_partition, register_partitions
+from hitledger.sinks.log_table import create_log_table, publish, register_batch, register_partition, register_partitions
 from hitledger.sources import demo
 from hitledger.sources.tables import list_files, read_access_log
 from hitledger.workspace import Files, stage_dir
@@ -69,6 +69,9 @@ def test_catalog_partitions(spark):
     register_partition(spark, "access_log_t", hid=1000, d="240101", h="00", m5="00", batch="b1")
     assert spark.table("access_log_t").where("m5 = '05'").count() == 5
     assert spark.table("access_log_t").count() == 10
+    publish(ingest_rows(_lines(spark, 10), "202401010100", "b2", "UTC"), root)
+    register_batch(spark, "access_log_t", root, "b2")
+    assert spark.table("access_log_t").where("batch = 'b2'").count() == 10
     spark.sql("drop table access_log_t")
 
 
@@ -177,26 +180,45 @@ def test_merge_of_some_partitions_into_several_files(spark):
     assert all(r["count"] > 1 for r in outputs)
 
 
-@pytest.mark.parametrize("fail_at", [0, 3, 17])
-def test_interrupted_swap_resumes(spark, monkeypatch, fail_at):
+@pytest.mark.parametrize("step", ["make_marker", "move", "remove"])
+@pytest.mark.parametrize("fail_at", [0, 5])
+def test_interrupted_merge_shows_every_row_once_and_resumes(spark, monkeypatch, step, fail_at):
     root = _published(spark)
-    before = bag(read_access_log(spark, root), "hid", *QUERY_COLUMNS)
-    moves = []
-    real = Files.move
+    seen = lambda: bag(read_access_log(spark, root), "hid", *QUERY_COLUMNS)
+    before, calls, real = seen(), [], getattr(Files, step)
 
-    def failing(self, source, target):
-        if len(moves) == fail_at:
+    def failing(self, *paths):
+        calls.append(paths)
+        if len(calls) > fail_at:
             raise OSError("lost connection")
-        moves.append(source)
-        real(self, source, target)
+        real(self, *paths)
+
+    monkeypatch.setattr(Files, step, failing)
+    if fail_at == 0 or step == "remove":
+        with pytest.raises(OSError):
+            compact.merge_files(spark, root, "m", compaction.plan_bin_packing)
+        assert seen() == before
+    monkeypatch.setattr(Files, step, real)
+    compact.merge_files(spark, root, "m", compaction.plan_bin_packing)
+    assert seen() == before
+    assert list_files(spark, root).count() == 6
 
-    monkeypatch.setattr(Files, "move", failing)
-    with pytest.raises(OSError):
-        compact.merge_files(spark, root, "m", compaction.plan_bin_packing)
-    monkeypatch.setattr(Files, "move", real)
+
+def test_merged_batch_is_not_published_again(spark, tmp_path):
+    root = _published(spark)
+    (tmp_path / "in").mkdir()
     compact.merge_files(spark, root, "m", compaction.plan_bin_packing)
+    with pytest.raises(ValueError, match="merged"):
+        run_ingest(spark, f"{tmp_path}/in", root, "b1", "202401010100")
+
+
+def test_merge_lists_only_what_it_is_for(spark):
+    root = _published(spark)
+    before = bag(read_access_log(spark, root), "hid", *QUERY_COLUMNS)
+    compact.merge_files(spark, root, "m", compaction.plan_rewrite, within=["hid=1001"])
     assert bag(read_access_log(spark, root), "hid", *QUERY_COLUMNS) == before
-    assert list_files(spark, root).count() == 6
+    assert list_files(spark, root, within=["hid=1000"]).where("batch like 'm-%'").count() == 0
+    assert list_files(spark, root, within=["hid=1001"]).where("batch not like 'm-%'").count() == 0
 
 
 def test_merge_reads_only_planned_sizes(spark):
