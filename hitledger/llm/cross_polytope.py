@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitledger.llm.stages import Stages
+from hitledger.llm.textbytes import tidy
 
 #: Vectors of a bucket that a task compares at once with a block of queries.
 BLOCK = 2048
@@ -105,7 +106,7 @@ def hashed(vectors: DataFrame, index: Index, probes: int) -> DataFrame:
                         names=["vec_id", "dim", "table", "bucket", "values"],
                     )
 
-    return vectors.mapInArrow(rows, "vec_id long, dim int, table int, bucket int, values array<double>")
+    return vectors.mapInArrow(tidy(vectors.sparkSession, rows), "vec_id long, dim int, table int, bucket int, values array<double>")
 
 
 def _best_in_blocks(dealt: DataFrame, top: int) -> DataFrame:
@@ -152,7 +153,7 @@ def _best_in_blocks(dealt: DataFrame, top: int) -> DataFrame:
         if pending:
             yield flush()
 
-    return dealt.mapInArrow(rows, "query_id long, vec_id long, score double")
+    return dealt.mapInArrow(tidy(dealt.sparkSession, rows), "query_id long, vec_id long, score double")
 
 
 def _meet(base: DataFrame, queries: DataFrame, top: int) -> DataFrame:

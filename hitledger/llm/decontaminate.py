@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.textbytes import NOT_WORD, byte_table, pieces, utf8_column, window_hashes, word_hashes, word_spans
+from hitledger.llm.textbytes import NOT_WORD, byte_table, pieces, tidy, utf8_column, window_hashes, word_hashes, word_spans
 
 WINDOW = 10
 #: Bytes of benchmark text that one broadcast may hold; a larger benchmark is scanned for in several broadcasts.
@@ -154,7 +154,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                     ]
                     yield pa.record_batch([*keep, *new], names=[*schema, "n_words", "n_hit", "hit_spans", "hit_items"])
 
-        found = found.mapInArrow(scan, found.schema)
+        found = found.mapInArrow(tidy(found.sparkSession, scan), found.schema)
     return found
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.textbytes import pieces
+from hitledger.llm.textbytes import pieces, tidy
 
 #: Bytes of a window.
 WINDOW = 256
@@ -218,7 +218,7 @@ def languages(docs: DataFrame, net: Network | None) -> DataFrame:
                 )
 
     schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
-    return docs.mapInArrow(rows, schema)
+    return docs.mapInArrow(tidy(docs.sparkSession, rows), schema)
 
 
 def _has_letter(data: np.ndarray) -> bool:

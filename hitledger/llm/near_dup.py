@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from hitledger.llm.components import components
 from hitledger.llm.stages import Stages, maybe_broadcast
 from hitledger.llm.textbytes import (
-    WHITE, byte_table, mix, pieces, span_sums, window_hashes, word_hashes, word_spans,
+    WHITE, byte_table, mix, pieces, span_sums, tidy, window_hashes, word_hashes, word_spans,
 )
 
 BANDS, ROWS = 32, 5
@@ -147,7 +147,7 @@ def sign(docs: DataFrame, shingles: Shingles) -> DataFrame:
                     names=["doc_id", "n_shingles", "k1", "k2", "bands", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, SIGNED)
+    return docs.select("doc_id", "text").mapInArrow(tidy(docs.sparkSession, rows), SIGNED)
 
 
 def full_sets(docs: DataFrame, shingles: Shingles) -> DataFrame:
@@ -162,7 +162,7 @@ def full_sets(docs: DataFrame, shingles: Shingles) -> DataFrame:
                 items = pa.ListArray.from_arrays(at, np.concatenate(sets).view(np.int64))
                 yield pa.record_batch([part.column(0), items], names=["node", "items"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "node long, items array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(docs.sparkSession, rows), "node long, items array<long>")
 
 
 def _plausible(pairs: DataFrame, signed: DataFrame, shingles: Shingles) -> DataFrame:
@@ -254,7 +254,7 @@ def _block_pairs(members: DataFrame, best: int | None, shingles: Shingles) -> Da
         if pending:
             yield flush()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidy(dealt.sparkSession, run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingles: Shingles = Shingles()) -> DataFrame:

@@ -7,10 +7,12 @@ the same words as working on characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 # An odd multiplier and its inverse modulo 2**64, and mixing constants.
 BASE = 0x9E3779B97F4A7C15
@@ -18,6 +20,34 @@ BASE_INVERSE = pow(BASE, -1, 2**64)
 MIX_1 = 0xBF58476D1CE4E5B9
 MIX_2 = 0x94D049BB133111EB
 
+#: Bytes of rows that Spark hands a Python worker at once (a longer row alone).
+BATCH_BYTES = 8 << 20
+
+Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(spark: SparkSession, rows: Rows) -> Rows:
+    """``rows`` for ``mapInArrow``, with little memory held on both sides.
+
+    The session's Arrow batches are brought down to BATCH_BYTES where they are
+    larger, and a worker that is through with a task gives freed memory back, as
+    it lives on beside the tasks of other stages.
+    """
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(setting).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(setting, str(BATCH_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from rows(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 #: Texts are worked on in pieces of about so many bytes (a longer text alone).
 PIECE_BYTES = 1 << 20
 
