@@ -214,7 +214,8 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """``docs`` with each row as often as the mix takes it (0 to ``most`` times); columns as they were."""
     stages = Stages(docs.sparkSession, "mixed")
     taken = copies(docs, mix).where("copies > 0").select("doc_id", "source", "size", "copies").distinct()
-    taken = stages.write(taken, "copies").alias("t")
+    # By shuffle at any size: a list of most documents is none to broadcast.
+    taken = stages.write(taken, "copies").hint("merge").alias("t")
     own = docs.select(F.struct("*").alias("row"), "doc_id", "source", word_count("text").alias("size")).alias("d")
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("doc_id", "source", "size")]
     both = own.join(taken, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
