@@ -257,6 +257,12 @@ def _block_pairs(members: DataFrame, best: int | None, shingles: Shingles) -> Da
     return dealt.mapInArrow(tidy(dealt.sparkSession, run), "a long, b long")
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows (band, hash, n, hub, node, label) of buckets that hold more than one component."""
+    spread = rows.groupBy("band", "hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return rows.join(spread.select("band", "hash"), ["band", "hash"]).select("band", "hash", "n", "hub", "node", "label")
+
+
 def near_duplicates(docs: DataFrame, shingles: Shingles = Shingles()) -> DataFrame:
     """Class of every document: (doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
@@ -297,33 +303,43 @@ def near_duplicates(docs: DataFrame, shingles: Shingles = Shingles()) -> DataFra
     small = small.select("a", F.explode(F.expr("slice(own, at + 2, size(own))")).alias("b"))
     star = shared.where(f"n > {SMALL} and node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     tested = stages.write(_plausible(small.union(star).distinct(), heads, shingles), "pairs")
-    links = _confirmed(stages, docs, tested, shingles)
-    large = shared.where(f"n > {SMALL}")
-    labels = components(stages, links)
-
+    labels = components(stages, _confirmed(stages, docs, tested, shingles))
+    large = shared.where(f"n > {SMALL}").join(labels.withColumnRenamed("component", "label"), "node", "left")
+    mixed = stages.write(_mixed(large.withColumn("label", F.coalesce("label", "node"))), "mixed")
+    merges = []
     for best in (0, 8, None):
-        at = large.join(labels.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        main = at.groupBy("band", "hash").agg(
+        if mixed.isEmpty():
+            break
+        main = mixed.groupBy("band", "hash").agg(
             F.min(F.when(F.col("node") == F.col("hub"), F.col("label"))).alias("hub_label"),
-            F.min("label").alias("low"), F.max("label").alias("high"),
             F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("other"),
-        ).where("low < high").drop("low", "high")
-        mixed = at.join(main, ["band", "hash"])
+        )
+        rows = mixed.join(main, ["band", "hash"])
         if best == 0:  # one more hub, which spares most of what is left
-            fresh = mixed.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            fresh = rows.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
             fresh = _plausible(fresh, heads, shingles)
         else:
-            minors = mixed.where("label <> hub_label").groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n_minor"))
-            members = mixed.join(minors, ["band", "hash"]).join(heads.select("node", "n_shingles", "sketch"), "node")
+            minors = rows.where("label <> hub_label").groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n_minor"))
+            members = rows.join(minors, ["band", "hash"]).join(heads.select("node", "n_shingles", "sketch"), "node")
             fresh = _block_pairs(members, best, shingles).distinct()
         fresh = stages.write(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
         if fresh.isEmpty():
             continue
-        links = links.union(_confirmed(stages, docs, fresh, shingles))
-        labels = components(stages, links)
         tested = tested.union(fresh)
-
-    roots = classes.join(labels, "node", "left").select(*key, F.coalesce("component", "node").alias("component_id"))
+        # Components, not nodes, are linked from here on, and only buckets that are still mixed go on.
+        found, of = _confirmed(stages, docs, fresh, shingles), mixed.select("node", "label").distinct()
+        for side in ("a", "b"):
+            found = found.join(of.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")), side)
+        merge = components(stages, found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+        merge = merge.select(F.col("node").alias("label"), F.col("component").alias("merged"))
+        merges.append(merge)
+        now = mixed.join(merge, "label", "left").withColumn("label", F.coalesce("merged", "label")).drop("merged")
+        mixed = stages.write(_mixed(now), "mixed")
+
+    roots = classes.join(labels, "node", "left").select(*key, F.coalesce("component", "node").alias("label"))
+    for merge in merges:
+        roots = roots.join(merge, "label", "left").select(*key, F.coalesce("merged", "label").alias("label"))
+    roots = roots.withColumnRenamed("label", "component_id")
     rows = signed.select("doc_id", *key)
     with_class = rows.where("n_shingles > 0").join(roots, key)
     alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
