@@ -34,16 +34,22 @@ class Parse:
     fixed: float = 0.5
 
 
+BLANK = r"[\x20\x09-\x0D]"
+
+
 def tokens_of(line: Column) -> Column:
-    """Tokens between blanks; those with a digit are ``*`` from the start."""
-    words = F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.when(w.rlike("[0-9]"), F.lit("*")).otherwise(w))
+    """Tokens between blanks of a line without blanks at its ends; those with a digit are ``*`` from the start."""
+    masked = F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "*")
+    return F.split(F.when(line.rlike("[0-9]"), masked).otherwise(line), f"{BLANK}+")
 
 
 def _lines(docs: DataFrame, parse: Parse) -> DataFrame:
     """(doc_id, at, leaf, tokens) of every line that has a token."""
     lines = docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = lines.withColumn("tokens", tokens_of(F.col("line"))).where(F.size("tokens") > 0)
+    lines = lines.select("doc_id", "at", F.btrim("line", F.lit(" \t\x0b\x0c\r")).alias("line")).where("line <> ''")
+    lines = lines.select("doc_id", "at", tokens_of(F.col("line")).alias("tokens"))
+    # A generated row keeps the tokens from being split anew in every place that uses them.
+    lines = lines.select("doc_id", "at", F.explode(F.array("tokens")).alias("tokens"))
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, parse.leading))
     return lines.select("doc_id", "at", leaf.alias("leaf"), "tokens")
 
@@ -89,7 +95,7 @@ def drop_template_lines(docs: DataFrame, parse: Parse = Parse()) -> DataFrame:
     stages = Stages(docs.sparkSession, "template-lines")
     gone = dropped_lines(docs, parse).where("doc_id is not null")
     gone = stages.write(gone.groupBy("doc_id").agg(F.collect_set("at").alias("_gone")), "gone")
-    found = docs.join(gone, "doc_id", "left")
+    found = docs.join(gone.hint("merge"), "doc_id", "left")  # by shuffle at any size
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda line, at: ~F.array_contains("_gone", at))
     touched = F.col("_gone").isNotNull()
