@@ -19,12 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitledger.llm.textbytes import pieces
+from hitledger.llm.textbytes import byte_table, pieces, tidy
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 256
+#: Bytes of text that are cut into pieces at once: each distinct piece among them is looked up once.
+TEXT_BYTES = 2 << 20
 #: Distinct pieces whose ids a Python worker keeps.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 500_000
 
 FILE_OPTIONS = {
     "parquet.writer.version": "PARQUET_2_0",
@@ -67,12 +69,13 @@ class PieceEncoder:
         for token, i in vocabulary.items():
             self.closing[i] = token.endswith("</w>")
         self.table = _classes()
+        self.lower = byte_table(b"")
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {b"": 0}
         self.ids = np.zeros(1 << 16, np.int32)
-        self.bounds = np.zeros(1 << 16, np.int64)  # ids of piece k: bounds[k] to bounds[k + 1]
+        self.bounds = np.zeros(1 << 16, np.int32)  # ids of piece k: bounds[k] to bounds[k + 1]
 
     def _append(self, ids: np.ndarray, counts: np.ndarray) -> None:
         n, used = len(self.known), self.bounds[len(self.known)]
@@ -114,7 +117,8 @@ class PieceEncoder:
         lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
         kind[lead] = kind[lead + 1] = _LETTER
         cut = np.ones(len(data), bool)
-        cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        np.not_equal(kind[1:], kind[:-1], out=cut[1:])
+        cut |= kind == _DIGIT
         rows = offsets[:-1][offsets[:-1] < len(data)]
         cut[rows] = True
         blank = kind == _BLANK
@@ -122,15 +126,15 @@ class PieceEncoder:
         word[1:] |= blank[:-1]
         word[0] = True
         word[rows] = True
-        word_of = np.cumsum(word) - 1
+        word_of = np.cumsum(word, dtype=np.int32) - np.int32(1)
+        lower = self.lower[data]
         whole = np.zeros(word_of[-1] + 1, bool)
         whole[word_of[kind == _ODD]] = True
-        whole = whole[word_of]
-        cut &= word | ~whole
-        lower = data.copy()
-        upper = (data >= 65) & (data <= 90) & ~whole
-        lower[upper] += 32
-        high = lead[(data[lead + 1] <= 0x9E) & ~whole[lead]] + 1
+        odd = np.flatnonzero(whole[word_of])  # few bytes: of words that stay one piece, as they are
+        cut[odd] = word[odd]
+        lower[odd] = data[odd]
+        high = lead[data[lead + 1] <= 0x9E] + 1
+        high = high[~whole[word_of[high]]]
         lower[high] += 0x20
         starts = np.flatnonzero(cut)
         bounds = np.append(starts, len(data))
@@ -142,12 +146,13 @@ class PieceEncoder:
         new = [p for p in clean if p not in self.known]
         if new:
             self._learn(list(dict.fromkeys(new)))
-        place = np.array([self.known[p] for p in clean], np.int64)
+        place = np.array([self.known[p] for p in clean], np.int32)
         own = place[array.indices.to_numpy()]
         first, counts = self.bounds[own], self.bounds[own + 1] - self.bounds[own]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        at = np.arange(total[-1]) + np.repeat(first - total[:-1], counts)
-        return self.ids[at], total[np.searchsorted(starts, offsets)]
+        total = np.zeros(len(counts) + 1, np.int32)
+        np.cumsum(counts, out=total[1:])
+        at = np.arange(total[-1], dtype=np.int32) + np.repeat(first - total[:-1], counts)
+        return self.ids[at], total[np.searchsorted(starts, offsets)].astype(np.int64)
 
 
 def _worker_encoder(path: str) -> PieceEncoder:
@@ -179,7 +184,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) ->
         encoder = _worker_encoder(tokenizer)
         number, done = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part, data, offsets in pieces(batch, "text"):
+            for part, data, offsets in pieces(batch, "text", TEXT_BYTES):
                 ids, bounds = encoder.encode(data, offsets)
                 rows = np.arange(part.num_rows)
                 ids, bounds = np.insert(ids, bounds[1:], end_id).astype(np.int32), bounds + np.append(rows, part.num_rows)
@@ -194,7 +199,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) ->
                 )
                 done += int(bounds[-1])
 
-    ids = ordered.mapInArrow(encode, TOKENS)
+    ids = ordered.mapInArrow(tidy(ordered.sparkSession, encode), TOKENS)
     ids.write.options(**FILE_OPTIONS, **{"parquet.block.size": str(ROW_GROUP_BYTES)}).parquet(path)
 
 
@@ -233,7 +238,7 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
             )
 
     rows = read_tokens(spark, path, ("doc_id", "ids", "n_tokens", "part", "part_start"))
-    rows = rows.mapInArrow(digest, "doc_id long, n_tokens long, part int, part_start long, ids_crc32 long")
+    rows = rows.mapInArrow(tidy(rows.sparkSession, digest), "doc_id long, n_tokens long, part int, part_start long, ids_crc32 long")
     # One row for each file, whose number the writer's partitions bound.
     parts = read_tokens(spark, path, ("part", "n_tokens")).groupBy("part").agg(F.sum("n_tokens").alias("held"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
