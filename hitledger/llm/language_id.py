@@ -23,6 +23,8 @@ from hitledger.llm.textbytes import pieces, tidy
 WINDOW = 256
 #: Labelled rows of each language that training takes; of a row it takes one window.
 SAMPLE_ROWS = 2000
+#: Steps that training takes at least, however few rows there are.
+LEAST_STEPS = 200
 WIDTHS = (2, 3, 4)
 FILTERS, DEPTH = 16, 12
 
@@ -89,7 +91,7 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 6, seed: int = 5)
     first = {k: np.zeros_like(v) for k, v in values.items()}
     second = {k: np.zeros_like(v) for k, v in values.items()}
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, LEAST_STEPS // -(-len(grid) // 64))):
         order = rng.permutation(len(grid))
         for at in range(0, len(order), 64):
             own = order[at : at + 64]
@@ -232,6 +234,6 @@ def fold(doc_id: str) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4))
 
 
-def keep_known(docs: DataFrame, net: Network | None, least: float = 0.5) -> DataFrame:
+def keep_known(docs: DataFrame, net: Network | None, least: float = 0.4) -> DataFrame:
     """``docs`` without those of no language or of a score below ``least``; columns as they were."""
     return languages(docs, net).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(docs.columns)
