@@ -2,8 +2,8 @@
 
 Rules by host and path prefix judge first; what they judge labels the rest. Of
 each host the paths form a tree of segments. Level by level a segment keeps a
-branch of its own only where it is frequent and its labels differ from its
-siblings'; such branches that are alike among themselves are merged, and all
+branch of its own only where its labels differ from its siblings', however few
+pages it has, and also where the siblings have no labels; such branches that are alike among themselves are merged, and all
 others are one wildcard branch. A template is rejected when the share of blocked
 among its labelled pages, smoothed, is high.
 
@@ -41,7 +41,7 @@ class Rule:
 
 @dataclass(frozen=True)
 class Tree:
-    """``support``: pages that a literal segment needs; ``similar``: standard errors within which
+    """``support``: pages that a literal segment needs in the SQL of the query, not asked for here; ``similar``: standard errors within which
     two block rates count as one; ``purity``: the smoothed block rate that rejects; ``prior``: pages added to both sides."""
 
     support: int = 20
@@ -99,9 +99,9 @@ def _apart(tree: Tree, blocked: Column, labelled: Column, all_blocked: Column, a
 def templates(stages: Stages, shapes: DataFrame, tree: Tree) -> DataFrame:
     """``shapes`` (host, shape, n, blocked, allowed) with each one's ``template``.
 
-    In each level a branch is (host, template so far, next segment). A branch of
-    at least ``tree.support`` pages whose block rate differs from its siblings' is
-    kept; branches kept on the same side (above or below their siblings) that do
+    In each level a branch is (host, template so far, next segment). A branch
+    whose block rate differs from its siblings' is kept at any number of pages, so
+    that its labels do not judge siblings without labels; branches kept on the same side (above or below their siblings) that do
     not differ from each other become one, ``*+`` or ``*-``; the rest becomes ``*``.
     """
     rows = shapes.withColumn("template", F.lit(""))
@@ -109,14 +109,12 @@ def templates(stages: Stages, shapes: DataFrame, tree: Tree) -> DataFrame:
     for level in range(1, DEPTH + 1):
         rows = rows.withColumn("segment", _segment(F.col("shape"), level))
         branch = rows.where("segment is not null").groupBy(*node, "segment").agg(
-            F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum(F.col("blocked") + F.col("allowed")).alias("labelled")
+            F.sum("blocked").alias("blocked"), F.sum(F.col("blocked") + F.col("allowed")).alias("labelled")
         )
         branch = stages.write(branch, "branches")
         own = (F.col("blocked"), F.col("labelled"))
         sums = lambda to: (F.sum("blocked").alias(f"{to}_blocked"), F.sum("labelled").alias(f"{to}_labelled"))
-        kept = branch.join(branch.groupBy(node).agg(*sums("all")), node).where(
-            (F.col("n") >= tree.support) & _apart(tree, *own, F.col("all_blocked"), F.col("all_labelled"))
-        )
+        kept = branch.join(branch.groupBy(node).agg(*sums("all")), node).where(_apart(tree, *own, F.col("all_blocked"), F.col("all_labelled")))
         above = F.col("blocked") * F.col("all_labelled") >= F.col("all_blocked") * F.col("labelled")
         kept = stages.write(kept.withColumn("side", F.when(above, "*+").otherwise("*-")), "kept")
         alone = _apart(tree, *own, F.col("side_blocked"), F.col("side_labelled"))

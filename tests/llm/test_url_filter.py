@@ -82,6 +82,14 @@ def test_similar_branches_merge(spark):
     assert got["http://h.com/aa/1"] == got["http://h.com/bb/1"] == "/*+/*" and got["http://h.com/cc/9"] == "/cc/*"
 
 
+@pytest.mark.parametrize("labelled", [5, 10, 15, 19, 20, 40])
+def test_few_blocked_pages_do_not_judge_unlabelled_siblings(spark, labelled):
+    urls = [f"http://h.example.com/de/{i}" for i in range(labelled)] + [f"http://h.example.com/{s}/{i}" for s in ("en", "es", "fr") for i in range(6)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = judge(pages, [Rule("example.com", "/de/", "block")]).collect()
+    assert {(r.path.startswith("/de/"), r.verdict) for r in got} == {(True, "block"), (False, "allow")}
+
+
 def test_stays_in_the_engine(spark):
     plan = judge(spark.read.parquet(f"{SF}/pages.parquet"), URL_RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
