@@ -3,8 +3,10 @@
 Lines go down a tree: by their number of tokens, then by their leading tokens,
 with tokens that hold digits as wildcards. In a leaf that several documents
 share, a token is a constant of its position if it is frequent there, else a
-variable field. Lines that agree in the constants have one template, and
-lines of templates that recur across documents are dropped.
+variable field. Lines that agree in the constants have one template; a line with
+too few constants is a template by itself, so that lines repeated word for word
+count however crowded their leaf is. Lines of templates that recur across
+documents are dropped.
 
 All of it is DataFrame code. Only lines in shared leaves go beyond the first
 count, and only their token hashes are shuffled.
@@ -75,8 +77,9 @@ def dropped_lines(docs: DataFrame, parse: Parse = Parse()) -> DataFrame:
     marked = fields.join(constants, ["leaf", "place", "token"], "left")
     field = F.struct("place", F.when(F.col("constant"), F.col("token")).otherwise(F.lit(0).cast("long")).alias("token"))
     whole = marked.groupBy("leaf", "form").agg(F.array_sort(F.collect_list(field)).alias("fields"), F.count("constant").alias("fixed"), F.first("n").alias("n"))
-    known = whole.where(F.col("fixed") >= F.size("fields") * parse.fixed)
-    known = stages.write(known.select("leaf", "form", F.xxhash64("leaf", "fields").alias("template")), "known")
+    enough = F.col("fixed") >= F.size("fields") * parse.fixed
+    template = F.when(enough, F.xxhash64("leaf", "fields")).otherwise(F.xxhash64("leaf", "form"))
+    known = stages.write(whole.where(enough | (F.col("n") >= parse.min_docs)).select("leaf", "form", template.alias("template")), "known")
     with_template = stages.write(shared.join(known, ["leaf", "form"]).select("doc_id", "at", "template"), "lines")
     recurring = with_template.groupBy("template", "doc_id").agg(F.lit(1).alias("one")).groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
     recurring = recurring.where(F.col("docs") >= parse.min_docs).select("template")

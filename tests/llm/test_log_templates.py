@@ -71,3 +71,13 @@ def test_edges(spark):
     repeated = spark.createDataFrame([*rows[3:8], rows[3], (None, line), (None, None)], "doc_id long, text string")
     got = Counter((r.doc_id, r.text) for r in drop_template_lines(repeated).collect())
     assert got[4, ""] == 2 and got[None, line] == 1 and got[None, None] == 1
+
+
+def test_crowded_leaf(spark):
+    """Thirty fixed lines of one leaf, each in a few documents: none has a tenth of the leaf."""
+    words = lambda k: " ".join(f"{chr(97 + k // 6)}{chr(97 + k % 6)}{c}" for c in "uvwxyz")
+    line = lambda k, i: f"2024-01-{i + 10} 12:00:{i + 10} INFO {words(k)}"
+    rows = [(100 * k + i, line(k, i)) for k in range(30) for i in range(5)] + [(9000 + i, line(31, i)) for i in range(3)]
+    rows += [(9100, "\n".join(line(32, i) for i in range(6)))]
+    got = found(drop_template_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(got[i] == (("", 1, 1) if i < 9000 else (text, text.count("\n") + 1, 0)) for i, text in rows)
