@@ -110,7 +110,7 @@ def hashed(vectors: DataFrame, index: Index, probes: int) -> DataFrame:
 
 
 def _best_in_blocks(dealt: DataFrame, top: int) -> DataFrame:
-    """(query_id, vec_id, score): of each block and query the ``top`` nearest.
+    """(query_id, vec_id, score): of each block and query the ``top`` nearest, equal (vec_id, score) as one.
 
     ``dealt``: (dim, table, bucket, block, side, vec_id, values); side 0 are the vectors, side 1 the queries.
     """
@@ -124,7 +124,10 @@ def _best_in_blocks(dealt: DataFrame, top: int) -> DataFrame:
             gap = base - own
             score = np.sqrt((gap * gap).sum(1))
             others = np.flatnonzero(base_ids != q)
-            best = others[np.lexsort((base_ids[others], score[others]))[:top]]
+            others = others[np.lexsort((base_ids[others], score[others]))]
+            new = np.ones(len(others), bool)
+            new[1:] = (base_ids[others[1:]] != base_ids[others[:-1]]) | (score[others[1:]] != score[others[:-1]])
+            best = others[new][:top]
             out.append((np.full(len(best), q), base_ids[best], score[best]))
         return out
 
@@ -187,7 +190,8 @@ def neighbours(vectors: DataFrame, queries: DataFrame, top: int = 10, index: Ind
     buckets is compared with all, so it gets fewer only if there are no more.
     """
     stages = Stages(vectors.sparkSession, "neighbours")
-    of = lambda rows, probes: hashed(rows.select("vec_id", "embedding"), index, probes)
+    # Repeated rows go before any cut, so that they crowd out no others.
+    of = lambda rows, probes: hashed(rows.select("vec_id", "embedding").distinct(), index, probes)
     base = stages.write(of(vectors, 1), "base")
     asked = stages.write(of(queries, index.probes), "asked")
     found = stages.write(_first(_meet(base, asked, top), top), "found")

@@ -75,3 +75,18 @@ def test_rotations_keep_lengths_and_find_axes():
     turned = rotations(unit, Index(tables=3))
     assert turned.shape == (3, 5, 8) and np.allclose(np.linalg.norm(turned, axis=2), 1)
     assert (axes(np.array([[0.1, -0.9, 0.3]]), 3) == [[4, 2, 0]]).all()
+
+
+def test_every_row_repeated(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(30)]
+    once, twice = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows * 2, SCHEMA)
+    got = found(neighbours(twice, once))
+    assert got == found(neighbours(once, once)) and {len(near) for near in got.values()} == {10}
+
+
+def test_one_row_often_hides_no_other(spark):
+    rows = [(i, [1.0, 2.0, 3.0, 4.0 + i / 100]) for i in range(30)]
+    rows += [(3, rows[3][1])] * 20 + [(50, [1.0, 2.0, 4.0, 3.0])]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    assert found(neighbours(vectors, vectors.where("vec_id in (4, 50)"))) == by_brute_force(rows, [4, 50])
