@@ -16,9 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from hitledger.functions.times import parse_param
 from hitledger.operators import rollup
 from hitledger.sinks.stat_tables import HOUR_PARTITIONS, write_hour_table
-from hitledger.sources.tables import partition_globs
+from hitledger.sources.tables import partition_globs, read_hour_stats
 from hitledger.workspace import Files, matching_paths
 
+#: Below the partials, where scans skip it: the fold under way, and the mark that it counts.
+FOLD, READY = "_fold", "_ready"
+PLAN = "d string, h string, epoch bigint, out_root string"
 KEYS = ["hid", "d", "h", "destip", "destport", "domain", "proctype"]
 
 
@@ -61,18 +64,44 @@ def read_hour_partials(
     return rollup.hour_ipportdomain(partials.drop("epoch"))
 
 
+def _finish_fold(spark: SparkSession, path: str) -> None:
+    """Carries out the fold that is staged below ``path``, if any; an unfinished stage goes. Repeating it changes nothing."""
+    files, fold = Files(spark, path), f"{path}/{FOLD}"
+    if files.exists(f"{fold}/{READY}"):
+        plan = spark.read.schema(PLAN).parquet(f"{fold}/plan").collect()
+        write_hour_table(spark.read.parquet(f"{fold}/stats"), f"{plan[0].out_root}/ipportdomain")
+        for folder in plan:
+            files.remove(f"{path}/d={folder.d}/h={folder.h}/epoch={folder.epoch}")
+        files.remove(f"{fold}/{READY}")  # before the tables it speaks for
+    files.remove(fold)
+
+
 def fold_hours(spark: SparkSession, path: str, out_root: str, begin: str | datetime, end: str | datetime) -> None:
-    """Hours that nothing is added to any more: into the hour table, and out of the partials.
+    """Partials of closed hours: merged into what the hour table holds, and out of the partials.
 
-    Repeating it before the partials are gone gives the same hours.
+    Only hours that have partials are replaced, so folding again or after late rows keeps
+    what was folded before. The merged hours are staged and marked before anything is
+    replaced or deleted; a fold that stopped is finished by the next call, with the
+    ``out_root`` it began with. No batch of the stream and no other fold may be under way.
     """
     begin, end = parse_param(begin), parse_param(end)
-    hours = partition_globs(begin, end, None, HOUR_PARTITIONS)
-    write_hour_table(read_hour_partials(spark, path, begin, end), f"{out_root}/ipportdomain", hours)
-    files = Files(spark, path)
-    for glob in partition_globs(begin, end, None, ["d", "h"]):
-        for folder in files.glob(f"{path}/{glob}"):
-            files.remove(folder)
+    _finish_fold(spark, path)
+    files, fold = Files(spark, path), f"{path}/{FOLD}"
+    globs = partition_globs(begin, end, None, ["d", "h"])
+    found = [folder for glob in globs for folder in files.glob(f"{path}/{glob}{'/*=*' * (3 - glob.count('='))}")]
+    if not found:
+        return
+    folders = [[level.split("=", 1)[1] for level in folder.rsplit("/", 3)[1:]] for folder in found]
+    plan = spark.createDataFrame([(d, h, int(epoch), out_root) for d, h, epoch in folders], PLAN)
+    plan.write.parquet(f"{fold}/plan")
+    new = read_hour_partials(spark, path, begin, end)
+    old = read_hour_stats(spark, out_root, "ipportdomain", begin, end).alias("o").join(
+        new.select(HOUR_PARTITIONS).distinct().alias("n"), F.expr(" and ".join(f"o.{c} <=> n.{c}" for c in HOUR_PARTITIONS)), "left_semi"
+    )
+    both = rollup.stored(old.select(new.columns).unionByName(new))
+    rollup.hour_ipportdomain(both).write.parquet(f"{fold}/stats")
+    files.make_marker(f"{fold}/{READY}")
+    _finish_fold(spark, path)
 
 
 def closed_hours(log: DataFrame, delay: str = "2 hours") -> DataFrame:

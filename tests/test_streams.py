@@ -12,8 +12,10 @@ from hitledger.operators.cells import to_cells
 from hitledger.operators.ingest import ingest_rows
 from hitledger.sinks.cells import cell_writer
 from hitledger.sources import demo, lines
-from hitledger.sources.tables import read_access_log
+from hitledger.sources.tables import read_access_log, read_hour_stats
 from hitledger.streaming import hourly, intake
+from hitledger.workbook import MONTH
+from hitledger.workspace import Files
 
 LINE = "1001|10.0.0.1|203.0.113.9|1|{port}|80|a.com|aHR0cA==|3|{second}"
 SECOND = int(datetime.fromisoformat("2024-01-01T12:00:00+00:00").timestamp())
@@ -92,6 +94,57 @@ def test_hourly_partials_equal_batch(spark, tmp_path):
     assert bag(hourly.read_hour_partials(spark, f"{tmp_path}/partials")) == bag(batch)
 
 
+@pytest.fixture
+def late_partials(spark, tmp_path):
+    """Writes the partials of one of three parts of the log under a number of its own."""
+    rows = demo.access_log(spark, SF)
+
+    def write(part):
+        own = rows.where(F.pmod(F.xxhash64("srcip", "acctime"), F.lit(3)) == part)
+        partials = rollup.merge(rollup.hits(own), hourly.KEYS).withColumn("epoch", F.lit(part))
+        partials.write.mode("append").partitionBy("d", "h", "epoch").parquet(f"{tmp_path}/partials")
+
+    return write
+
+
+def _fold(spark, tmp_path):
+    hourly.fold_hours(spark, f"{tmp_path}/partials", f"{tmp_path}/hours", *MONTH)
+    return _rows(read_hour_stats(spark, f"{tmp_path}/hours", "ipportdomain", *MONTH))
+
+
+def _rows(stats):
+    return bag(stats.where("d between '240101' and '240130'").select(sorted(stats.columns)))
+
+
+def test_folds_again_and_after_late_rows(spark, tmp_path, late_partials):
+    late_partials(0)
+    first = _fold(spark, tmp_path)
+    assert first and _fold(spark, tmp_path) == first
+    late_partials(1)
+    late_partials(2)
+    assert _fold(spark, tmp_path) == _rows(rollup.hour_ipportdomain(rollup.hits(demo.access_log(spark, SF))))
+    assert hourly.read_hour_partials(spark, f"{tmp_path}/partials", *MONTH).isEmpty()
+
+
+def test_fold_that_stops_is_resumed(spark, tmp_path, late_partials, monkeypatch):
+    for part in range(3):
+        late_partials(part)
+    remove, gone = Files.remove, []
+
+    def stopping(files, path):
+        if "/d=" in path and "partials" in path:
+            if len(gone) == 5:
+                raise OSError("stopped")
+            gone.append(path)
+        remove(files, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Files, "remove", stopping)
+        with pytest.raises(OSError):
+            _fold(spark, tmp_path)
+    assert _fold(spark, tmp_path) == _rows(rollup.hour_ipportdomain(rollup.hits(demo.access_log(spark, SF))))
+
+
 def test_closed_hours_emit_once(spark, tmp_path):
     source = demo.raw_lines(spark, SF).select("value").coalesce(1)
     source.write.text(f"{tmp_path}/in/x/y")
