@@ -45,11 +45,13 @@ def laid_out(records: DataFrame, order: str) -> DataFrame:
     )
 
 
-def tree(stages: Stages, leaves: DataFrame) -> list[DataFrame]:
-    """Levels of nodes (archive, place, start, end, sha256), leaves first, one root for each archive last."""
-    level = stages.write(leaves, "leaves")
+def tree(stages: Stages, leaves: DataFrame, largest: int) -> list[DataFrame]:
+    """Levels of nodes (archive, place, start, end, sha256), leaves first, one root for each archive last.
+
+    As deep as an archive with a place ``largest`` needs; every level hashes anew, so only trees of equal depth compare.
+    """
+    level = leaves
     levels = [level]
-    largest = level.agg(F.max("place")).first()[0] or 0
     while largest > 0:
         largest //= FAN_OUT
         child = F.struct("place", "start", "end", "sha256")
@@ -79,17 +81,14 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """
     stages = Stages(first.sparkSession, "fixity")
     columns = ["archive", "place", "start", "end", "sha256"]
-    trees = [tree(stages, side.select(columns)) for side in (first, second)]
-    depth = max(map(len, trees))
-
-    def level_of(side: int, number: int) -> DataFrame:
-        levels = trees[side]
-        return levels[min(number, len(levels) - 1)]  # a root stands for itself above its level
+    leaves = [stages.write(side.select(columns), "leaves") for side in (first, second)]
+    largest = max(side.agg(F.max("place")).first()[0] or 0 for side in leaves)
+    trees = [tree(stages, side, largest) for side in leaves]
 
     def compare(number: int, parents: DataFrame | None) -> DataFrame:
         sides = []
         for side, name in enumerate("ab"):
-            nodes = level_of(side, number)
+            nodes = trees[side][number]
             if parents is not None:
                 nodes = nodes.withColumn("parent", F.floor(F.col("place") / FAN_OUT).cast("long")).alias("n").join(
                     parents.alias("p"), F.expr("n.archive <=> p.archive and n.parent = p.place"), "left_semi"
@@ -106,9 +105,9 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
             F.col("b.sha256").alias("second_sha256"), status.alias("status"),
         )
 
-    roots = stages.write(compare(depth - 1, None), "roots")
+    roots = stages.write(compare(len(trees[0]) - 1, None), "roots")
     differing = roots.where("status <> 'same'")
-    for number in range(depth - 2, -1, -1):
+    for number in range(len(trees[0]) - 2, -1, -1):
         found = compare(number, differing.select("archive", "place"))
         differing = stages.write(found.where("status <> 'same'"), "differing")
     report = ["archive", "level", "place", "start", "end", "first_sha256", "second_sha256", "status"]

@@ -70,3 +70,14 @@ def test_extra_columns_and_record_form(spark):
     place = laid_out(made, "n").first()
     assert (place.place, place.start, place.end) == (0, 0, len(record.encode()))
     assert place.sha256 == hashlib.sha256(record.encode()).hexdigest()
+
+
+def test_longest_archives_on_both_sides_of_a_power(spark):
+    for cut in (250, 10):
+        first = {1: [f"record 1 {i}" for i in range(300)], 2: [f"record 2 {i}" for i in range(20)], 3: ["one"]}
+        second = {**first, 1: first[1][:cut]}
+        sides = [frames(spark, [(a, i, r) for a, own in side.items() for i, r in enumerate(own)]) for side in (first, second)]
+        for pair, status in ((sides, "missing"), (sides[::-1], "extra")):
+            got = audit(*pair).collect()
+            assert {r.archive: r.status for r in got if r.level == "archive"} == {1: "changed", 2: "same", 3: "same"}
+            assert {(r.archive, r.place, r.status) for r in got if r.level == "record"} == {(1, i, status) for i in range(cut, 300)}
