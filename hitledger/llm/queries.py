@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import warc
+from hitledger.llm import toxicity, warc
+from hitledger.llm.align import Alignment
 from hitledger.llm.cross_polytope import neighbours
 from hitledger.llm.decontaminate import contamination
+from hitledger.llm.fill_middle import fill_in_middle, restored
 from hitledger.llm.language_id import fit, fold, languages
 from hitledger.llm.log_templates import drop_template_lines
 from hitledger.llm.mixing import copies
@@ -97,7 +99,31 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), Shingles(words=4, percent=80))
 
 
+def op11_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    # A document labelled more than once is toxic if any label says so.
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.fit(docs.where(fold("doc_id") != 2).join(labels, "doc_id"))
+    held_out, predicted = (fold("doc_id") == 2).alias("held_out"), (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return toxicity.toxicity(docs, model).select("doc_id", held_out, "score", predicted, "threshold", "toxic")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(_table(spark, sf_dir, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(restored()).alias("restored_sha256"),
+    )
+
+
+def op13_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return Alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).texts()
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_output, op2_pivotal_mix, op3_url_templates, op4_language_cnn, op5_warc_fixity,
     op6_cross_polytope, op7_log_template_lines, op8_decontaminate, op9_secret_entropy, op10_minhash_odd_sketch,
+    op11_toxicity_cnn, op12_fill_in_middle, op13_spill_alignment,
 )}

@@ -168,6 +168,21 @@ def _near_duplicates() -> str:
     select doc_id, len(s) as n_shingles, component_id, doc_id = component_id as kept from sets join lowest using (doc_id)"""
 
 
+def _fill_in_middle() -> str:
+    drawn = ", ".join(f"cast('0x' || substr(x, {8 * i + 1}, 8) as bigint) as h{i + 1}" for i in range(4))
+    marked = " or ".join(f"contains(t, '{mark}')" for mark in ("<P>", "<S>", "<M>"))
+    return f"""with texts as (
+      select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256(concat('1:', doc_id)) as x from documents),
+    drawn as (select doc_id, t, n, {drawn} from texts),
+    cuts as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when n = 0 or {marked} or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from drawn),
+    parts as (select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1) as s from cuts)
+    select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+      sha256(case form when 'plain' then t when 'psm' then concat('<P>', p, '<S>', s, '<M>', m)
+        else concat('<S>', s, '<P>', p, '<M>', m) end) as output_sha256,
+      sha256(t) as restored_sha256 from parts"""
+
+
 SQL: dict[str, str] = {
     "op3_url_templates": _url_templates(),
     "op5_warc_fixity": _fixity(),
@@ -175,4 +190,5 @@ SQL: dict[str, str] = {
     "op8_decontaminate": _decontaminate(),
     "op9_secret_entropy": _secrets(),
     "op10_minhash_odd_sketch": _near_duplicates(),
+    "op12_fill_in_middle": _fill_in_middle(),
 }
