@@ -8,6 +8,8 @@ the same words as working on characters.
 from __future__ import annotations
 
 import ctypes
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -106,19 +108,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of BASE and of its inverse, modulo 2**64."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]))
-        _powers = tuple(
+    """The first ``n`` powers of BASE and of its inverse, modulo 2**64; they are kept outside of what tasks are pickled with."""
+    kept = sys.modules.setdefault("_hitledger_powers", types.ModuleType("_hitledger_powers"))
+    if len(getattr(kept, "up", ())) < n:
+        size = max(n, 2 * len(getattr(kept, "up", ())))
+        kept.up, kept.down = (
             np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]))
             for base in (BASE, BASE_INVERSE)
         )
-    return _powers[0][:n], _powers[1][:n]
+    return kept.up[:n], kept.down[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
