@@ -44,7 +44,7 @@ def op2_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
-    return found.select("page_id", "host", "path", "rule", "verdict")
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
 def op4_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,9 +101,7 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    # A document labelled more than once is toxic if any label says so.
-    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.fit(docs.where(fold("doc_id") != 2).join(labels, "doc_id"))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(fold("doc_id") != 2))
     held_out, predicted = (fold("doc_id") == 2).alias("held_out"), (F.col("score") >= 0.3).cast("int").alias("predicted")
     return toxicity.toxicity(docs, model).select("doc_id", held_out, "score", predicted, "threshold", "toxic")
 
