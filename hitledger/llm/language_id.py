@@ -196,12 +196,13 @@ def languages(docs: DataFrame, net: Network | None) -> DataFrame:
     """
     if net is None:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    # As plain values: an instance would be looked up by its class's name, which workers may not know.
+    shared = docs.sparkSession.sparkContext.broadcast(dict(vars(net)))
     names = docs.columns
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(shared.value)
-        codes = np.array([*shared.value.languages, "und"], object)
+        lookup = Lookup(Network(**shared.value))
+        codes = np.array([*lookup.net.languages, "und"], object)
         for batch in batches:
             for part, data, offsets in pieces(batch, "text", 1 << 18):
                 grid, row, held = windows(data, offsets)
