@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitledger.llm.stages import Stages
 from hitledger.llm.textbytes import NOT_WORD, byte_table, pieces, tidy, utf8_column, window_hashes, word_hashes, word_spans
 
 WINDOW = 10
@@ -84,13 +85,14 @@ def _piece_hits(data: np.ndarray, offsets: np.ndarray, tests: dict[int, Windows]
     return first, np.stack([starts, ends]), hit, items
 
 
-def benchmark_parts(benchmark: DataFrame) -> list[list[tuple[object, str]]]:
-    """Items as lists that each stay within BROADCAST_BYTES, fetched part by part."""
+def benchmark_parts(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
+    """Items as lists that each stay within BROADCAST_BYTES, each fetched when it is asked for."""
     sized = benchmark.where("text is not null").select("item_id", "text", F.octet_length("text").alias("size"))
     total = sized.agg(F.sum("size")).first()[0] or 0
     n = int(2 * total // BROADCAST_BYTES) + 1
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[(r.item_id, r.text) for r in sized.where(part == k).select("item_id", "text").collect()] for k in range(n)]
+    for k in range(n):
+        yield [(r.item_id, r.text) for r in sized.where(part == k).select("item_id", "text").collect()]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -114,11 +116,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         "n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"),
         "hit_spans": F.lit(None).cast("array<struct<start:long,end:long>>"), "hit_items": F.lit(None).cast("array<string>"),
     })
-    for rows in benchmark_parts(benchmark):
-        shared = spark.sparkContext.broadcast(test_windows(rows, window))
+    stages = Stages(spark, "contamination")
+    for number, rows in enumerate(benchmark_parts(benchmark)):
+        if number:  # done with the part before: neither the driver nor a worker holds two
+            found = stages.write(found, "part")
+            shared.unpersist()
+        # As plain values: an instance would be looked up by its class's name, which workers may not know.
+        shared = spark.sparkContext.broadcast({k: dict(vars(w)) for k, w in test_windows(rows, window).items()})
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            tests = shared.value
+            tests = {k: Windows(**w) for k, w in shared.value.items()}
             table = byte_table(NOT_WORD)
             for batch in batches:
                 for part, data, offsets in pieces(batch, "text"):
