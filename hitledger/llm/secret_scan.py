@@ -25,12 +25,14 @@ ACCESS, HEX = "AKIA[A-Z0-9]{12,}", "[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "entropy")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 
+#: A word: one case, a capital first, or camel case of pieces with two small letters at least.
+_WORD = "(?:[A-Z]*[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+)"
 #: Candidates that are no secrets however random they look.
 ALLOWED = (
-    r"^[^0-9]*$|^[^A-Za-z]*$",                                                    # words; numbers, dates
+    r"^[^A-Za-z]*$",                                                               # numbers, dates
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs
-    r"^(?:[A-Za-z]+|[0-9]+)(?:[-_/+]+(?:[A-Za-z]+|[0-9]+))*[-_/+]*$",              # hyphenated words and numbers, paths
-    r"(?i)example|sample|dummy|placeholder|xxxx",                                 # documentation
+    rf"^[-_/+]*(?:{_WORD}|[0-9]+)(?:[-_/+]+(?:{_WORD}|[0-9]+))*[-_/+]*$",          # words and numbers between marks, paths
+    r"(?i)(?:^|[^A-Za-z])(?:example|sample|dummy|placeholder|x{4,})(?:[^A-Za-z]|$)",  # documentation, as a part of its own
 )
 #: Fixed-point entropies, so that sums by increments and sums anew agree.
 SCALE = 1 << 32
