@@ -45,7 +45,7 @@ def _url_templates() -> str:
     all{level} as (select *, sum(blocked) over (partition by host, template) as all_blocked,
         sum(labelled) over (partition by host, template) as all_labelled from branch{level}),
     kept{level} as (select *, case when blocked * all_labelled >= all_blocked * labelled then '*+' else '*-' end as side
-        from all{level} where n >= {tree.support} and {apart.format(to='all')}),
+        from all{level} where {apart.format(to='all')}),
     sides{level} as (select *, sum(blocked) over (partition by host, template, side) as side_blocked,
         sum(labelled) over (partition by host, template, side) as side_labelled from kept{level}),
     named{level} as (select host, template, segment, case when {apart.format(to='side')} then segment else side end as name from sides{level}),
@@ -56,7 +56,8 @@ def _url_templates() -> str:
     purities as (select host, template, (sum(blocked) + {tree.prior}::double) / (sum(blocked) + sum(allowed) + 2 * {tree.prior}::double) as purity
         from rows{DEPTH} group by all)
     select u.page_id, u.host, u.path, u.r.rule as rule,
-        coalesce(u.r.verdict, case when p.purity >= {tree.purity}::double then 'block' else 'allow' end) as verdict
+        coalesce(u.r.verdict, case when p.purity >= {tree.purity}::double then 'block' else 'allow' end) as verdict,
+        t.template, case when u.r is null then p.purity end as purity
     from ruled u join rows{DEPTH} t on u.host = t.host and u.shape = t.shape join purities p on p.host = t.host and p.template = t.template"""
 
 
@@ -92,8 +93,10 @@ def _line_templates() -> str:
     forms as (select leaf, toks, lines, count(*) as n from shared group by all),
     fields as (select leaf, toks, lines, n, unnest(toks) as token, generate_subscripts(toks, 1) as place from forms),
     constants as (select leaf, place, token from fields group by all having sum(n) >= {p.min_docs} and sum(n) >= any_value(lines) * {p.frequent}::double),
-    marked as (select f.leaf, f.toks, f.place, c.token as token from fields f left join constants c on f.leaf = c.leaf and f.place = c.place and f.token = c.token),
-    known as (select leaf, toks, list(token order by place) as template from marked group by all having count(token) >= count(*) * {p.fixed}::double),
+    marked as (select f.leaf, f.toks, f.n, f.place, c.token as token from fields f left join constants c on f.leaf = c.leaf and f.place = c.place and f.token = c.token),
+    whole as (select leaf, toks, any_value(n) as n, list(token order by place) as fields, count(token) >= count(*) * {p.fixed}::double as enough from marked group by all),
+    known as (select leaf, toks, case when enough then {{'fields': fields, 'words': null}} else {{'fields': null, 'words': toks}} end as template
+        from whole where enough or n >= {p.min_docs}),
     tagged as (select s.doc_id, s.pos, s.leaf, k.template from shared s join known k using (leaf, toks)),
     recurring as (select leaf, template from tagged group by all having count(distinct doc_id) >= {p.min_docs}),
     gone as (select doc_id, list(t.pos) as gone from tagged t join recurring r on t.leaf = r.leaf and t.template is not distinct from r.template group by 1)

@@ -41,10 +41,9 @@ class Rule:
 
 @dataclass(frozen=True)
 class Tree:
-    """``support``: pages that a literal segment needs in the SQL of the query, not asked for here; ``similar``: standard errors within which
-    two block rates count as one; ``purity``: the smoothed block rate that rejects; ``prior``: pages added to both sides."""
+    """``similar``: standard errors within which two block rates count as one; ``purity``: the smoothed block rate
+    that rejects; ``prior``: pages added to both sides."""
 
-    support: int = 20
     similar: float = 3.0
     purity: float = 0.9
     prior: float = 1.0
