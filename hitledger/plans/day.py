@@ -8,9 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from hitledger.operators import rollup
-from hitledger.sinks.stat_tables import write_day_tsv
+from hitledger.sinks.stat_tables import Hours, write_day_tsv
 from hitledger.functions.times import parse_param
-from hitledger.sources.tables import partition_globs, read_hour_stats
+from hitledger.sources.tables import read_hour_stats
 
 # Day table -> (hour table it merges, merge).
 MERGES = {
@@ -41,7 +41,7 @@ def run_day_stats(
     """Replace the day (up to ``last_day``: all days) in every day table; returns their (path, row_count) rows."""
     begin = parse_param(day).replace(hour=0, minute=0, second=0)
     end = parse_param(last_day or day).replace(hour=23, minute=59, second=59)
-    days = partition_globs(begin, end, hids, ["hid", "d"])
+    days = Hours(begin, end, tuple(hids) if hids else None)
     written = {}
     for table, (source, merge) in merges.items():
         stats = merge(read_hour_stats(spark, hour_root, source, begin, end, hids))

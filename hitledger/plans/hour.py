@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 from hitledger.functions.domains import SuffixLists
 from hitledger.functions.times import parse_param
 from hitledger.operators import legality, rollup
-from hitledger.sinks.stat_tables import HOUR_PARTITIONS, write_hour_table, write_hour_tsv
-from hitledger.sources.tables import partition_globs, read_access_log, read_hour_stats
+from hitledger.sinks.stat_tables import HOUR_PARTITIONS, Hours, write_hour_table, write_hour_tsv
+from hitledger.sources.tables import read_access_log, read_hour_stats
 from hitledger.workspace import Files, stage_dir
 
 
-def _hours(spark: SparkSession, root: str, begin, end, hids) -> tuple[DataFrame, datetime, datetime]:
+def _hours(begin: str | datetime, end: str | datetime, hids: Sequence[int] | None) -> Hours:
     begin = parse_param(begin).replace(minute=0, second=0)
     end = parse_param(end).replace(minute=0, second=0) + timedelta(minutes=59, seconds=59)
-    return read_access_log(spark, root, begin, end, hids), begin, end
+    return Hours(begin, end, tuple(hids) if hids else None)
 
 
 def run_hour_stats(
@@ -35,25 +35,27 @@ def run_hour_stats(
     suffixes: SuffixLists | DataFrame,
     foreign: Iterable[str] | DataFrame = (),
     hids: Sequence[int] | None = None,
+    by: Sequence[str] = HOUR_PARTITIONS,
 ) -> None:
     """``ipportdomain`` -> ``ipport`` and ``domainip`` -> ``domain`` / ``foreigndomain``.
 
-    All hours from ``begin`` to ``end`` are replaced, those without rows by nothing.
+    All hours from ``begin`` to ``end`` are replaced, those without rows by nothing. The log may have any
+    directory levels; ``by`` are those of the hour tables (house and day for a thin log).
     """
-    log, begin, end = _hours(spark, log_root, begin, end, hids)
-    hours = partition_globs(begin, end, hids, HOUR_PARTITIONS)
-    write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{out_root}/ipportdomain", hours)
-    base = rollup.stored(read_hour_stats(spark, out_root, "ipportdomain", begin, end, hids))
-    write_hour_table(rollup.hour_ipport(base), f"{out_root}/ipport", hours)
-    write_hour_table(rollup.hour_domainip(base, suffixes), f"{out_root}/domainip", hours)
-    per_ip = rollup.stored(read_hour_stats(spark, out_root, "domainip", begin, end, hids))
+    hours = _hours(begin, end, hids)
+    log = read_access_log(spark, log_root, hours.begin, hours.end, hids).where(hours.holds())
+    read = lambda table: rollup.stored(read_hour_stats(spark, out_root, table, hours.begin, hours.end, hids))
+    write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{out_root}/ipportdomain", hours, by)
+    base = read("ipportdomain")
+    write_hour_table(rollup.hour_ipport(base), f"{out_root}/ipport", hours, by)
+    write_hour_table(rollup.hour_domainip(base, suffixes), f"{out_root}/domainip", hours, by)
     # Staged, so that both halves of the split come from one aggregation.
     stage = stage_dir(spark, "hour-domains")
-    domains = rollup.domain_of_domainip(per_ip, foreign)
+    domains = rollup.domain_of_domainip(read("domainip"), foreign)
     domains.write.parquet(stage)
     domestic, abroad = rollup.split_foreign(spark.read.schema(domains.schema).parquet(stage))
-    write_hour_table(domestic, f"{out_root}/domain", hours)
-    write_hour_tsv(abroad, f"{out_root}/foreigndomain", hours)
+    write_hour_table(domestic, f"{out_root}/domain", hours, by)
+    write_hour_tsv(abroad, f"{out_root}/foreigndomain", hours, by)
     Files(spark, stage).remove(stage)
 
 
@@ -66,20 +68,22 @@ def run_legal_hour_stats(
     suffixes: SuffixLists | DataFrame,
     house_ips: DataFrame,
     hids: Sequence[int] | None = None,
+    by: Sequence[str] = HOUR_PARTITIONS,
 ) -> None:
     """The variant with house IPs: illegal accesses, and statistics of legal ones.
 
     The log is read once, into a staged table per IP, port and domain.
     """
-    log, begin, end = _hours(spark, log_root, begin, end, hids)
-    hours = partition_globs(begin, end, hids, HOUR_PARTITIONS)
+    hours = _hours(begin, end, hids)
+    log = read_access_log(spark, log_root, hours.begin, hours.end, hids).where(hours.holds())
     stage = stage_dir(spark, "legal-hours")
-    write_hour_table(rollup.hour_ipportdomain(rollup.hits(log)), f"{stage}/ipportdomain")
-    base = rollup.stored(read_hour_stats(spark, stage, "ipportdomain"))
-    write_hour_table(legality.hour_illegal(base, house_ips), f"{out_root}/illegLog", hours)
-    write_hour_table(legality.legal_hour_ipport(base, house_ips), f"{out_root}/ipport", hours)
-    write_hour_table(legality.legal_hour_domainip(base, house_ips, suffixes), f"{out_root}/domainip", hours)
+    staged = rollup.merge(rollup.hits(log), [*rollup.PERIOD, "destip", "destport", "domain", "proctype"])
+    staged.write.parquet(stage)
+    base = spark.read.schema(staged.schema).parquet(stage)
+    write_hour_table(legality.hour_illegal(base, house_ips), f"{out_root}/illegLog", hours, by)
+    write_hour_table(legality.legal_hour_ipport(base, house_ips), f"{out_root}/ipport", hours, by)
+    write_hour_table(legality.legal_hour_domainip(base, house_ips, suffixes), f"{out_root}/domainip", hours, by)
     Files(spark, stage).remove(stage)
-    per_ip = rollup.stored(read_hour_stats(spark, out_root, "domainip", begin, end, hids))
+    per_ip = rollup.stored(read_hour_stats(spark, out_root, "domainip", hours.begin, hours.end, hids))
     domains = rollup.domain_of_domainip(per_ip, None).withColumn("isforeign", F.lit(0))
-    write_hour_table(domains, f"{out_root}/domain", hours)
+    write_hour_table(domains, f"{out_root}/domain", hours, by)

@@ -3,58 +3,98 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.schema import DAY_COLUMNS
+from hitledger.schema import DAY_COLUMNS, HOUR_TABLES
 from hitledger.sinks.delimited import write_delimited
+from hitledger.sinks.replace import replace_partitions
+from hitledger.sources.tables import partition_globs, scan_stats
 from hitledger.workspace import Files
 
 HOUR_PARTITIONS = ["hid", "d", "h"]
 
 
-class Replaced:
-    """Partitions to be replaced by a write, also where it has no row for them.
+@dataclass(frozen=True)
+class Hours:
+    """All hours from ``begin`` to ``end`` of some houses (None: of all)."""
+
+    begin: datetime
+    end: datetime
+    hids: tuple[int | str, ...] | None = None
+
+    def holds(self) -> Column:
+        hour = F.concat("d", "h").between(f"{self.begin:%y%m%d%H}", f"{self.end:%y%m%d%H}") & (F.length("d") == 6)
+        return hour & F.col("hid").cast("string").isin([str(h) for h in self.hids]) if self.hids else hour
+
+    def globs(self, by: Sequence[str]) -> list[str]:
+        return partition_globs(self.begin, self.end, self.hids, by)
+
+    def cut(self, by: Sequence[str]) -> bool:
+        """Whether directories of these levels may hold other rows too."""
+        days = "h" not in by and (self.begin.hour, self.end.hour) != (0, 23)
+        return days or (self.hids is not None and "hid" not in by)
 
-    Dynamic overwrite leaves a partition alone that the result has nothing for. Files of the requested
-    partitions that are still there after the write are of an earlier result, and go.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, globs: Sequence[str]):
-        self._files = Files(spark, path)
-        self._globs = [f"{path}/{glob}{'/*=*' * (depth - glob.count('='))}" for glob in globs for depth in (2, 3) if glob.count("=") <= depth]
+def table_levels(spark: SparkSession, path: str, by: Sequence[str] | None) -> list[str]:
+    """The levels a table has on disk, else those asked for (default: house, day, hour)."""
+    found = Files(spark, path).levels(path)
+    if by is not None and found and found != list(by):
+        raise ValueError(f"{path} is partitioned by {found}, not by {list(by)}")
+    return found or list(by or HOUR_PARTITIONS)
 
-    def _listed(self) -> set[str]:
-        return {file for glob in self._globs for file in self._files.glob(f"{glob}/[!_.]*") if "=" not in file.rsplit("/", 1)[1]}
 
-    def __enter__(self) -> Replaced:
-        self._before = self._listed()
-        return self
+def _with_kept(stats: DataFrame, stored: DataFrame, hours: Hours | None, levels: Sequence[str]) -> DataFrame:
+    """``stats`` and the stored rows of other hours in directories that will be replaced."""
+    if hours is not None:
+        kept = stored.where(~F.coalesce(hours.holds(), F.lit(False)))
+    else:
+        now = stats.select([F.col(c).cast("string").alias(f"_{c}") for c in HOUR_PARTITIONS]).distinct()
+        same = {c: F.col(c).cast("string") == F.col(f"_{c}") for c in HOUR_PARTITIONS}
+        touched = now.select([f"_{c}" for c in levels]).distinct()
+        kept = stored.join(now, list(same.values()), "left_anti").join(touched, [same[c] for c in levels], "left_semi")
+    return stats.unionByName(kept.select([F.col(c).cast(t).alias(c) for c, t in stats.dtypes]))
 
-    def __exit__(self, kind, *_) -> None:
-        if kind is None:
-            for folder in {file.rsplit("/", 1)[0] for file in self._before & self._listed()}:
-                self._files.remove(folder)
+
+def _replace_hours(stats: DataFrame, path: str, table: str, hours: Hours | None, by: Sequence[str] | None, save):
+    spark = stats.sparkSession
+    levels = table_levels(spark, path, by)
+    if set(levels) < set(HOUR_PARTITIONS) and (hours is None or hours.cut(levels)):
+        globs = [""] if hours is None else hours.globs(levels)
+        stats = _with_kept(stats, scan_stats(spark, path, table, globs, levels), hours, levels)
+    stale = None if hours is None else hours.globs(levels)
+    return replace_partitions(spark, path, lambda folder: save(stats.hint("rebalance", *levels), folder, levels), stale, len(levels))
+
+
+def write_hour_table(
+    stats: DataFrame, path: str, hours: Hours | None = None, by: Sequence[str] | None = None
+) -> None:
+    """ORC by the levels ``by`` (the table's own, else house, day and hour; fewer for thin logs).
+
+    Replaces all of ``hours``, also those without rows, or the hours that ``stats`` holds, in one step, and no others.
+    """
+    table = path.rstrip("/").rsplit("/", 1)[1]
+    _replace_hours(stats, path, table, hours, by, lambda rows, folder, levels: rows.write.partitionBy(*levels).orc(folder))
 
 
-def write_hour_table(stats: DataFrame, path: str, requested: Sequence[str] = ()) -> None:
-    """ORC by house and hour; replaces the hours it holds, all ``requested`` ones (globs), and no others."""
-    with Replaced(stats.sparkSession, path, requested):
-        (
-            stats.hint("rebalance", *HOUR_PARTITIONS).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_PARTITIONS).orc(path)
-        )
+def write_hour_tsv(stats: DataFrame, path: str, hours: Hours | None = None, by: Sequence[str] | None = None) -> DataFrame:
+    """The same as TSV; returns (path, row_count)."""
 
+    def save(rows: DataFrame, folder: str, levels: Sequence[str]) -> DataFrame:
+        return write_delimited(rows.select(HOUR_TABLES["foreigndomain"].names), folder, "\t", partition_by=levels)
 
-def write_hour_tsv(stats: DataFrame, path: str, requested: Sequence[str] = ()) -> DataFrame:
-    with Replaced(stats.sparkSession, path, requested):
-        return write_delimited(stats.hint("rebalance", *HOUR_PARTITIONS), path, "\t", partition_by=HOUR_PARTITIONS)
+    written = _replace_hours(stats, path, "foreigndomain", hours, by, save)
+    return written.withColumn("path", F.lit(path))
 
 
-def write_day_tsv(stats: DataFrame, path: str, table: str, requested: Sequence[str] = ()) -> DataFrame:
+def write_day_tsv(stats: DataFrame, path: str, table: str, days: Hours | None = None) -> DataFrame:
     """TSV by house and day. ``hid`` is also the first field of every line."""
     fields = [F.col("hid").alias("house"), *DAY_COLUMNS[table][1:]]
     rows = stats.select(*fields, "hid", F.col("day").alias("d")).hint("rebalance", "hid", "d")
-    with Replaced(stats.sparkSession, path, requested):
-        return write_delimited(rows, path, "\t", partition_by=["hid", "d"])
+    stale = None if days is None else days.globs(["hid", "d"])
+    spark = stats.sparkSession
+    written = replace_partitions(spark, path, lambda folder: write_delimited(rows, folder, "\t", partition_by=["hid", "d"]), stale, 2)
+    return written.withColumn("path", F.lit(path))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -32,7 +34,7 @@ class Files:
     """Hadoop file-system metadata operations (never file contents)."""
 
     def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
+        jvm = self._jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._uri = jvm.java.net.URI
         self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -60,6 +62,43 @@ class Files:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"cannot move {source} to {target}")
 
+    def folders(self, path: str) -> list[str]:
+        """Names of the partition directories (``name=value``) right below ``path``."""
+        return [name for s in self._list(path) if s.isDirectory() and "=" in (name := s.getPath().getName())]
+
+    def _list(self, path: str):
+        return self._fs.listStatus(self._path(path)) if self.exists(path) else []
+
+    def levels(self, path: str) -> list[str]:
+        """Names of the partition levels on the way to the first data file below ``path``; none without a file."""
+        return (self.exists(path) and self._levels(self._path(path))) or []
+
+    def _levels(self, path) -> list[str] | None:
+        entries = self._fs.listStatusIterator(path)
+        while entries.hasNext():
+            entry = entries.next()
+            name = entry.getPath().getName()
+            if name[0] in "_.":
+                continue
+            if not entry.isDirectory():
+                return []
+            if "=" in name and (below := self._levels(entry.getPath())) is not None:
+                return [name.split("=", 1)[0], *below]
+        return None
+
+    def write_text(self, path: str, text: str) -> None:
+        """A small control file."""
+        out = self._fs.create(self._path(path), True)
+        out.write(text.encode())
+        out.close()
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def set_time(self, path: str, moment: datetime) -> None:
         self._fs.setTimes(self._at(path), int(moment.timestamp() * 1000), -1)
 
@@ -67,6 +106,13 @@ class Files:
         self._fs.delete(self._path(path), True)
 
 
+def at_once(calls: Iterable[Callable[[], None]], threads: int = 16) -> None:
+    """File-system calls side by side; the first error is raised after all have ended."""
+    with ThreadPoolExecutor(threads) as pool:
+        for done in [pool.submit(call) for call in calls]:
+            done.result()
+
+
 def matching_paths(spark: SparkSession, globs: list[str]) -> list[str]:
     """Directories that exist, so that a scan of missing partitions is empty, not an error."""
     files = Files(spark, globs[0])
