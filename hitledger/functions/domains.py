@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from hitledger.functions.text import sql_literal
 
 MALFORMED = "-1"
+#: Copies of a long suffix list that candidates are dealt over.
+SALT = 16
 
 
 @dataclass(frozen=True)
@@ -117,19 +119,31 @@ def add_top_domain(
     """Add the registrable domain.
 
     ``suffixes`` is either :class:`SuffixLists` (literals, no join) or, for a
-    list too long for that, a DataFrame ``(kind, value)``: then each list is a
-    left join that Spark broadcasts only if its size allows.
+    list too long for that, a DataFrame ``(kind, value)``: then the distinct two-label ends of all
+    domains meet it in one join, and their flags come back by another.
     """
     if isinstance(suffixes, SuffixLists):
         return df.withColumn(out, top_domain(domain, suffixes))
     p = _labels(domain)
-    parts = {f"_{part}": F.expr(p[part]) for part in ("l1", "l2", "last2")}
-    joined = df.withColumns(parts)
-    lookups = {"_in1": ("in", "l1"), "_cc1": ("country", "l1"), "_in2": ("in", "l2"), "_ar2": ("area", "last2")}
-    for flag, (kind, part) in lookups.items():
-        keys = suffixes.where(F.col("kind") == kind).select(F.col("value").alias(flag)).distinct()
-        joined = joined.join(keys, F.col(f"_{part}") == F.col(flag), "left")
-    expr = _top_domain_sql(
-        domain, "_in1 is not null", "_cc1 is not null", "(_in2 is not null or _ar2 is not null)"
-    )
-    return joined.withColumn(out, F.expr(expr)).drop(*lookups, *parts)
+    joined = df.withColumn("_last2", F.expr(p["last2"]))
+    flags = _suffix_flags(joined.select("_last2").distinct(), suffixes)
+    expr = _top_domain_sql(domain, "_in1", "_cc1", "(_in2 or _ar2)")
+    return joined.join(flags, "_last2", "left").withColumn(out, F.expr(expr)).select(*df.columns, out)
+
+
+def _suffix_flags(ends: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """Which suffixes hold of distinct two-label ends (``_last2``), by one join of all candidates.
+
+    Half of all ends may share a label such as "com", so candidates are dealt over SALT copies of the list.
+    """
+    p = _labels("_last2")
+    candidates = {"_in1": ("in", p["l1"]), "_cc1": ("country", p["l1"]), "_in2": ("in", p["l2"]), "_ar2": ("area", p["last2"])}
+    each = F.explode(F.array(*[
+        F.struct(F.lit(flag).alias("flag"), F.lit(kind).alias("kind"), F.expr(part).alias("value")) for flag, (kind, part) in candidates.items()
+    ])).alias("c")
+    asked = ends.where("_last2 is not null").select("_last2", F.pmod(F.xxhash64("_last2"), F.lit(SALT)).cast("int").alias("salt"), each).select("_last2", "salt", "c.*")
+    listed = suffixes.select("kind", "value").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    found = asked.join(listed, ["kind", "value", "salt"], "left_semi")
+    has = [F.max(F.col("flag") == flag).alias(flag) for flag in candidates]
+    hits = found.groupBy("_last2").agg(*has)
+    return ends.join(hits, "_last2", "left").select("_last2", *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in candidates])

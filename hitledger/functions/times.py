@@ -19,29 +19,49 @@ _CYCLE = 12_622_780_800
 _PLAIN_YEARS = (-62_135_510_400, 253_402_214_400)
 
 
-def epoch_text(seconds: Column, zone: str | None = None) -> Column:
-    """Unix seconds (text) -> time text in ``zone`` (default: the session's); null if unreadable.
+def epoch_number(seconds: Column) -> Column:
+    """Unix seconds (text) as a number; null if unreadable."""
+    return F.when(seconds.rlike(_SECONDS), seconds.try_cast("bigint"))
+
+
+def _local(number: Column, zone: str | None) -> Column:
+    """The time of plain seconds, as ``timestamp_ntz`` or (session zone) ``timestamp``."""
+    if zone is None:
+        return F.timestamp_seconds(number)
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=number)
+    return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def number_text(number: Column, zone: str | None = None) -> Column:
+    """Unix seconds as time text in ``zone`` (default: the session's).
 
-    Any 64-bit number has a time. Years of more than four digits are written in
-    full; a time so far off that its text has no digit where the minute is cut
-    out is unreadable.
+    ``number`` is used several times: let it be a column, not an expression. Any 64-bit number has a
+    time. Years of more than four digits are written in full; a time so far off that its text
+    has no digit where the minute is cut out is null.
     """
-    number = F.when(seconds.rlike(_SECONDS), seconds.try_cast("bigint"))
-    plain = number.between(*_PLAIN_YEARS)
+    plain = F.from_unixtime(number) if zone is None else _local(number, zone).cast("string")
+    # Other times: that of the same moment of the calendar's first cycle, and its year moved by whole cycles.
     rest = F.pmod(number, F.lit(_CYCLE))
-    near = F.when(plain, number).otherwise(rest)
+    cycles = F.call_function("div", number, F.lit(_CYCLE)) - (number % _CYCLE < 0).cast("int")
+    year = F.year(_local(rest, zone)) + cycles * 400
+    shown = F.greatest(year, 1 - year)  # years before the first count backwards
+    tail = (F.from_unixtime(rest) if zone is None else _local(rest, zone).cast("string")).substr(5, 15)
+    # Years of 6, 9 or 12 digits move a mark to the place of the minute.
+    cut = F.length(shown.cast("string")) % 3 != 0
+    far = F.when(cut, F.concat(F.format_string("%04d", shown), tail))
+    return F.when(number.between(*_PLAIN_YEARS), plain).otherwise(far)
+
+
+def epoch_text(seconds: Column, zone: str | None = None) -> Column:
+    """Unix seconds (text) -> time text; null if unreadable."""
+    return number_text(epoch_number(seconds), zone)
+
+
+def instant_in(moment: Column, zone: str | None = None) -> Column:
+    """A timestamp as ``timestamp_ntz`` in ``zone`` (default: the session's)."""
     if zone is None:
-        text = F.from_unixtime(near)
-    else:
-        utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=near)
-        local = utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-        text = local.cast("string")
-    cycles = F.round(F.try_subtract(number, rest) / _CYCLE).cast("bigint")
-    year = text.substr(1, 4).cast("bigint") + cycles * 400
-    shown = F.when(year < 1, 1 - year).otherwise(year).cast("string")  # years before the first count backwards
-    shown = F.when(F.length(shown) < 4, F.lpad(shown, 4, "0")).otherwise(shown)
-    far = F.concat(shown, text.substr(F.lit(5), F.length(text)))
-    return F.when(plain, text).when(far.substr(16, 1).rlike("[0-9]"), far)
+        return moment.cast("timestamp_ntz")
+    return _local(F.unix_seconds(moment), zone)
 
 
 def day_of(acctime: Column) -> Column:

@@ -7,11 +7,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.functions.times import parse_param, text_of
+from hitledger.functions.times import bucket_of, parse_param, text_of
 from hitledger.sources.lines import parse_tolerant
 
 # Fixed value: a row may be up to this much older than its load time.
 LATENESS = timedelta(hours=2)
+#: Houses whose task counts become literals of the plan.
+MOST_HOUSES = 5_000
 
 
 def drop_late(parsed: DataFrame, load_time: str | datetime) -> DataFrame:
@@ -36,3 +38,28 @@ def ingest_rows(
     """Rows of one batch, labelled with it, ready for ``publish``."""
     rows = drop_late(parse_tolerant(lines, zone=zone), load_time)
     return rows.withColumn("batch", F.lit(batch_id))
+
+
+def sized(rows: DataFrame, tasks: DataFrame, load_time: str | datetime, most: int = MOST_HOUSES) -> DataFrame:
+    """Rows dealt to write tasks: of each house ``current_hour`` tasks for the hour of the load time, ``previous_hour`` for all others.
+
+    ``tasks`` is (hid, current_hour, previous_hour), as of :func:`hitledger.operators.compaction.ingest_parallelism`. Rows of a
+    house and hour go to its tasks in turn, so a hot house is spread as its bytes ask for. Houses without a line in
+    ``tasks`` share as many tasks as an average house has. With more than ``most`` houses Spark sizes the tasks.
+    """
+    counts = tasks.select("hid", "current_hour", "previous_hour").take(most + 1)
+    if not counts or len(counts) > most:
+        return rows.hint("rebalance", "hid", "d", "h")
+    begin, starts = 0, {}
+    for row in counts:
+        starts[row.hid] = (begin, row.current_hour, row.previous_hour)
+        begin += row.current_hour + row.previous_hour
+    rest = max(1, begin // len(counts))
+    bucket = bucket_of(parse_param(load_time))
+    current = (F.col("d") == bucket["d"]) & (F.col("h") == bucket["h"])
+    pairs = [F.lit(x) for hid, own in starts.items() for x in (hid, F.array(*map(F.lit, own)))]
+    own = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("hid").cast("string")), F.array(F.lit(begin), F.lit(rest), F.lit(0)))
+    older = ~F.coalesce(current, F.lit(False)) & (own[2] > 0)
+    turn = F.monotonically_increasing_id()
+    slot = own[0] + F.when(older, own[1] + turn % own[2]).otherwise(turn % own[1])
+    return rows.withColumn("_slot", slot.cast("int")).repartitionById(begin + rest, F.col("_slot")).drop("_slot")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hitledger.functions.net import ip_to_long, ip_to_long_sql, ip_value
 from hitledger.functions.times import bucket_key, bucket_of, clip_lookback, parse_param, text_of
 from hitledger.functions.urls import decode, encode_literal
-from hitledger.schema import QUERY_COLUMNS
+from hitledger.schema import ADDRESS_NUMBERS, QUERY_COLUMNS
 
 # What callers send to say "no such predicate".
 NO_FILTER = ("NI", "#", "")
@@ -69,11 +69,13 @@ def predicates(
     destip_begin: str | None = None,
     destip_end: str | None = None,
     hid: str | int | None = None,
+    numbers: bool = False,
 ) -> Column:
     """Conjunction of the predicates that were given.
 
     An address that cannot be read counts as 0, so it passes a range that has
-    only an upper bound.
+    only an upper bound. ``numbers``: rows have addresses as numbers (``srcnum``, ``destnum``), and
+    ranges are asked of them, so that they push down.
     """
     terms: list[Column] = []
     equal = {"hid": None if hid is None else str(hid), "domain": domain, "srcport": srcport,
@@ -82,7 +84,11 @@ def predicates(
     if _given(url):
         terms.append(_url_predicate(url, url_mode))
     for name, low, high in (("srcip", srcip_begin, srcip_end), ("destip", destip_begin, destip_end)):
-        if _given(low) and _given(high):
+        if numbers:
+            number = F.col(next(n for n, ip in ADDRESS_NUMBERS.items() if ip == name))
+            terms += [number >= F.lit(ip_value(low))] if _given(low) else []
+            terms += [number <= F.lit(ip_value(high))] if _given(high) else []
+        elif _given(low) and _given(high):
             # "between" converts the address once for both bounds.
             terms.append(F.expr(f"{ip_to_long_sql(name)} between {ip_value(low)} and {ip_value(high)}"))
         elif _given(low):
@@ -103,6 +109,7 @@ def search(
     """Rows of the published log in [begin, end] that match every given filter."""
     end = parse_param(end)
     begin = clip_lookback(parse_param(begin), end, max_lookback_hours)
+    filters = {"numbers": set(ADDRESS_NUMBERS) <= set(log.columns), **filters}
     matches = in_buckets(begin, end) & in_time_range(begin, end) & predicates(**filters)
     return log.where(matches).select("hid", *QUERY_COLUMNS)
 

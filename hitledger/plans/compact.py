@@ -19,12 +19,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.schema import ACCESS_LOG_TABLE, PARTITION_COLUMNS, QUERY_COLUMNS
+from hitledger.sinks.log_table import add_partitions, drop_partitions, orc_writer, stored_partitions, stored_rows
 from hitledger.sources.tables import HIDDEN, MERGED_BATCHES, SHOWN, list_files, scan_log
-from hitledger.workspace import Files
+from hitledger.workspace import Files, at_once
 
 #: Planned files up to this number (about 100 bytes each) may be broadcast.
 BROADCAST_FILES = 500_000
@@ -67,12 +68,15 @@ def merge_files(
     only: Column | None = None,
     by: Sequence[str] = PARTITION_COLUMNS,
     within: Sequence[str] = ("",),
+    table: str | None = None,
 ) -> int:
     """List, plan, write, verify, show, delete; returns how many files were merged away.
 
     ``within`` (globs below ``root``) are the directories that are listed,
     ``only`` is a further condition on hid/d/h/m5, ``by`` are the directory
-    levels the log was published with. ``merge_id`` is a file name.
+    levels the log was published with. ``merge_id`` is a file name. The catalog table ``table`` learns of the
+    merged partitions before they count, and forgets planned ones that are gone; its readers go through
+    :func:`hitledger.sources.tables.read_log_table`.
     """
     work = f"{root}/_merge/{merge_id}"
     files = Files(spark, root)
@@ -90,21 +94,31 @@ def merge_files(
         _write_merged(spark, root, merge_id, F.broadcast(plan) if n_files <= BROADCAST_FILES else plan, largest, only, by, within)
         batches = plan.select(F.regexp_extract("file_path", "/batch=([^/]*)/", 1).alias("batch")).distinct()
         batches.write.mode("append").parquet(f"{root}/{MERGED_BATCHES}")
+        if table is not None:
+            add_partitions(spark, table, stored_partitions(spark, root, batch=f"{merge_id}-merge-*"))
         files.move(f"{work}/{HIDDEN}", f"{work}/{SHOWN}")
 
+    planned = _folders(files, root, plan)
     _delete_all(spark, root, plan)
+    if table is not None:
+        drop_partitions(spark, table, planned - stored_partitions(spark, root))
     files.remove(work)
     return int(n_files)
 
 
+def _folders(files: Files, root: str, plan: DataFrame) -> set[str]:
+    """The partition directories of planned files."""
+    rows = plan.select(F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")).distinct().toLocalIterator()
+    start = len(files.qualified(root)) + 1
+    return {files.qualified(row["folder"])[start:] for row in rows}
+
+
 def _write_merged(spark, root, merge_id, plan, largest, only, by, within) -> None:
     rows = planned_rows(spark, root, plan, largest, only, within)
     seen = Observation("merged")
-    labelled = rows.withColumn("batch", F.concat(F.lit(f"{merge_id}-"), "batch")).repartition(*by, "batch")
-    (
-        labelled.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*by, "batch").orc(root)
-    )
+    labelled = stored_rows(rows).withColumn("batch", F.concat(F.lit(f"{merge_id}-"), "batch")).repartition(*by, "batch")
+    counted = labelled.observe(seen, F.count(F.lit(1)).alias("n"))
+    orc_writer(counted, by, "overwrite").option("partitionOverwriteMode", "dynamic").orc(root)
     merged = scan_log(spark, root, within).where(F.col("batch").startswith(f"{merge_id}-merge-"))
     before, after = int(seen.get["n"]), merged.count()
     if before != after:
@@ -114,8 +128,8 @@ def _write_merged(spark, root, merge_id, plan, largest, only, by, within) -> Non
 def _delete_all(spark: SparkSession, root: str, plan: DataFrame) -> None:
     """Directories that hold planned files only go whole, one call each; others file by file."""
     files = Files(spark, root)
-    folder = F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")
-    for row in plan.groupBy(folder).agg(F.collect_list("file_path").alias("own")).toLocalIterator():
+
+    def delete(row: Row) -> None:
         present = {files.qualified(f) for f in files.glob(f"{row['folder']}/[!_.]*")}
         own = {files.qualified(f) for f in row["own"]}
         if present <= own:
@@ -123,3 +137,7 @@ def _delete_all(spark: SparkSession, root: str, plan: DataFrame) -> None:
         else:
             for file in own & present:
                 files.remove(file)
+
+    folder = F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")
+    rows = plan.groupBy(folder).agg(F.collect_list("file_path").alias("own")).toLocalIterator()
+    at_once([lambda row=row: delete(row) for row in rows])

@@ -8,23 +8,28 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.operators.ingest import ingest_rows
+from hitledger.operators.compaction import ingest_parallelism
+from hitledger.operators.ingest import ingest_rows, sized
 from hitledger.schema import PARTITION_COLUMNS
 from hitledger.sinks.log_table import append, publish, register_batch
 from hitledger.sources.lines import parse_tolerant, read_lines
-from hitledger.sources.tables import MERGED_BATCHES
-from hitledger.workspace import Files
+from hitledger.sources.tables import MERGED_BATCHES, list_input
+from hitledger.streaming.ledger import REPROCESSED, note
+from hitledger.workspace import Files, at_once
 
 
 def run_ingest(
     spark: SparkSession, input_path: str, root: str, batch_id: str, load_time: str | datetime,
     zone: str | None = None, balance: bool = True, table: str | None = None,
-    by: Sequence[str] = PARTITION_COLUMNS,
+    by: Sequence[str] = PARTITION_COLUMNS, task_mb: float | None = None,
 ) -> None:
     """Parse, drop late rows, publish. Safe to repeat for the same ``batch_id``.
 
+    With ``task_mb`` each house gets write tasks by the bytes of its input files (one for so many MB in the hour of
+    the load time, half as many for earlier hours), else Spark sizes them after the shuffle.
+
     Rows that the stream took from a minute directory of this name are replaced
-    too. A batch that was merged with others is refused, since its rows cannot be
+    too, and the files read are noted, so that the stream does not bring them later. A batch that was merged with others is refused, since its rows cannot be
     told any more. With ``table``, the partitions written are registered there.
     """
     files = Files(spark, root)
@@ -33,16 +38,29 @@ def run_ingest(
         taken = F.col("batch").startswith(f"{batch_id}.") | (F.col("batch") == batch_id)
         if not merged.where(taken).isEmpty():
             raise ValueError(f"batch {batch_id} was merged with others; it cannot be published again")
-    rows = ingest_rows(read_lines(spark, input_path), load_time, batch_id, zone)
+    # The files as they lie there now: exactly these are read and noted.
+    taken = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(input_path.split(",")).select("_metadata.file_path")
+    paths = [row.file_path for row in taken.collect()]
+    lines = read_lines(spark, paths) if paths else spark.createDataFrame([], "value string")
+    rows = ingest_rows(lines, load_time, batch_id, zone)
+    if task_mb is not None:
+        tasks = ingest_parallelism(list_input(spark, input_path), task_mb)
+        rows, balance = sized(rows, tasks.where("hid <> ''"), load_time), False
     publish(rows, root, by, balance=balance)
     levels = "/".join("*=*" for _ in by)
-    for folder in files.glob(f"{root}/{levels}/batch={batch_id}.*"):
-        files.remove(folder)
+    if paths:
+        entries = taken.where(F.col("file_path").isin(paths)) if len(paths) < 1000 else taken
+        note(entries.select(F.lit(batch_id).alias("minute"), "file_path", F.lit(batch_id).alias("batch"), F.lit(REPROCESSED).alias("state")), root)
+    streamed = files.glob(f"{root}/{levels}/batch={batch_id}.*")
+    at_once([lambda folder=folder: files.remove(folder) for folder in streamed])
     if table is not None:
-        register_batch(spark, table, root, batch_id, by)
+        register_batch(spark, table, root, batch_id)
 
 
-def run_append(spark: SparkSession, input_path: str, root: str, batch_id: str, zone: str | None = None) -> None:
+def run_append(
+    spark: SparkSession, input_path: str, root: str, batch_id: str, zone: str | None = None,
+    by: Sequence[str] = PARTITION_COLUMNS,
+) -> None:
     """Parse and append: no late rows dropped, nothing replaced."""
     rows = parse_tolerant(read_lines(spark, input_path), zone=zone)
-    append(rows.withColumn("batch", F.lit(batch_id)), root)
+    append(rows.withColumn("batch", F.lit(batch_id)), root, by)

@@ -36,7 +36,9 @@ def run_domain_count(
     n_fields: int = N_FIELDS,
 ) -> DataFrame:
     """Count ``domain`` (with ``suffixes``: registrable domain) in ``hour`` or ``day``
-    statistics and, for today, in the raw lines of the last two hours."""
+    statistics and, for today, in the raw lines of the last two hours.
+
+    A question repeated with the same ``batch_id`` replaces its lines in the result log."""
     query_day = query_day or f"{now:%Y%m%d}"
     read = {"hour": lambda: read_hour_stats(spark, stats_root, "domain", query_day),
             "day": lambda: read_day_domains(spark, stats_root, query_day)}
@@ -49,5 +51,5 @@ def run_domain_count(
     )
     # One or two rows: counted once, then both logged and returned.
     answer = spark.createDataFrame(answer.collect(), answer.schema)
-    append_answers(answer, result_log)
+    append_answers(answer, result_log, batch_id)
     return answer

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hitledger.functions.times import clip_lookback, parse_param
 from hitledger.operators.search import search, search_lines
-from hitledger.schema import PARTITION_COLUMNS
 from hitledger.sinks.delimited import write_delimited
 from hitledger.sources.lines import parse_strict, read_lines
 from hitledger.sources.tables import read_access_log
@@ -24,15 +23,14 @@ def run_search(
     end: str | datetime,
     *,
     hids: Sequence[int] | None = None,
-    by: Sequence[str] = PARTITION_COLUMNS,
     max_lookback_hours: int | None = None,
     files: int | None = None,
     **filters,
 ) -> DataFrame:
-    """Search the stored log (published with levels ``by``); returns (path, row_count)."""
+    """Search the stored log, whatever its directory levels; returns (path, row_count)."""
     end = parse_param(end)
     begin = clip_lookback(parse_param(begin), end, max_lookback_hours)
-    log = read_access_log(spark, log_root, begin, end, hids, by)
+    log = read_access_log(spark, log_root, begin, end, hids)
     return write_delimited(search(log, begin, end, **filters), out_path, files=files)
 
 

@@ -21,11 +21,14 @@ QUERY_COLUMNS = RAW_FIELDS[1:]
 ACCESS_LOG = StructType(
     [StructField("hid", IntegerType()), *_strings(*QUERY_COLUMNS, "d", "h", "m5")]
 )
+# Addresses as numbers, stored beside their text so that files and stripes have their ranges.
+ADDRESS_NUMBERS = {"srcnum": "srcip", "destnum": "destip"}
 # As stored: partition columns last. A given schema also stops Spark from
 # inferring ``h=08`` as the integer 8.
-ACCESS_LOG_TABLE = StructType(
-    [*_strings(*QUERY_COLUMNS), StructField("hid", IntegerType()), *_strings("d", "h", "m5", "batch")]
-)
+ACCESS_LOG_TABLE = StructType([
+    *_strings(*QUERY_COLUMNS), *[StructField(n, LongType()) for n in ADDRESS_NUMBERS], StructField("hid", IntegerType()),
+    *_strings("d", "h", "m5", "batch"),
+])
 
 MEASURES = ["firsttime", "activetime", "times"]
 
@@ -41,6 +44,7 @@ HOUR_TABLES = {
     "ipport": _stat("destip", "destport", "proctype", *MEASURES, "hid", "d", "h"),
     "domainip": _stat("domain", "topdomain", "destip", *MEASURES, "proctype", "hid", "d", "h"),
     "domain": _stat("domain", "isforeign", *MEASURES, "topdomain", "destip", "hid", "d", "h"),
+    "foreigndomain": _stat("domain", "isforeign", *MEASURES, "topdomain", "destip", "hid", "d", "h"),
     "illegLog": _stat("domain", "destip", "hid", "d", "h"),
 }
 

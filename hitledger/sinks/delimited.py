@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hitledger.sinks.replace import read_partitions, replace_partitions
+from hitledger.workspace import matching_paths
+
 
 def write_delimited(
     rows: DataFrame, path: str, sep: str = ",", files: int | None = None, partition_by: Sequence[str] = ()
@@ -44,6 +49,23 @@ def answer_lines(answers: DataFrame) -> DataFrame:
     return answers.select(F.concat_ws("\t", *shown).alias("value"))
 
 
-def append_answers(answers: DataFrame, path: str) -> None:
-    """Add domain-count answers to a result log: tab-separated, CRLF line ends."""
-    answer_lines(answers).write.mode("append").option("lineSep", "\r\n").text(path)
+def append_answers(answers: DataFrame, path: str, question: str | None = None) -> None:
+    """Add domain-count answers to a result log: tab-separated, CRLF line ends.
+
+    The lines of a ``question`` (any text) replace those it left before; without one lines are added.
+    """
+    name = uuid.uuid4().hex if question is None else re.sub("[^0-9A-Za-z]", lambda c: f"_{ord(c[0]):x}_", question)
+    write = lambda folder: answer_lines(answers).write.option("lineSep", "\r\n").text(f"{folder}/question={name}")
+    replace_partitions(answers.sparkSession, path, write, [f"question={name}"], 1)
+
+
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a result log as ``value``."""
+
+    def scan(root: str, globs: list[str]) -> DataFrame:
+        found, schema = matching_paths(spark, [f"{root}/{g}" for g in globs]), "value string, question string"
+        if not found:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", root).option("lineSep", "\r\n").text(found)
+
+    return read_partitions(spark, path, ["question=*"], scan, ["question"]).select("value")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.functions.text import to_number, trim_blanks
-from hitledger.functions.times import UNREADABLE, day_of, epoch_text, five_minutes_of, hour_of
+from hitledger.functions.times import UNREADABLE, day_of, epoch_number, five_minutes_of, hour_of, number_text
 from hitledger.schema import ACCESS_LOG, RAW_FIELDS
 
 N_FIELDS = len(RAW_FIELDS)
@@ -39,12 +39,12 @@ def parse_tolerant(lines: DataFrame, *keep: str, zone: str | None = None) -> Dat
 
     timed = split.withColumns({
         "complete": F.size("field") == N_FIELDS,
-        "second": epoch_text(pick("acctime"), zone),
+        "number": epoch_number(pick("acctime")),
     })
     # A generated row is computed once. Without it the optimizer copies split and
-    # time conversion into a later filter and into every column that uses them.
-    once = F.explode(F.array(F.struct("value", "field", "complete", "second")))
-    timed = timed.select(*keep, once.alias("line")).select(*keep, "line.*")
+    # conversion into a later filter and into every column that uses them.
+    once = F.explode(F.array(F.struct("value", "field", "complete", "number")))
+    timed = timed.select(*keep, once.alias("line")).select(*keep, "line.*", number_text(F.col("line.number"), zone).alias("second"))
 
     complete = F.col("complete")
     house = F.coalesce(to_number(pick("hid"), "int"), F.lit(0))

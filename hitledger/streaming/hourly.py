@@ -1,13 +1,18 @@
-"""Hour statistics kept up to date from a stream.
+"""Hour statistics kept up to date from a stream, without state or with it.
 
 Measures merge, so no state is needed: each micro-batch stores its own partial
 statistics, and reading merges them. Late rows count whenever they arrive, and a
 retried batch replaces its own partials.
+
+With state (:func:`start_closed_hours`) open hours are kept in the stream's state
+store across batches and restarts, and an hour goes to the hour table once,
+when the watermark has passed it.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,30 +20,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hitledger.functions.times import parse_param
 from hitledger.operators import rollup
+from hitledger.schema import HOUR_TABLES
 from hitledger.sinks.stat_tables import HOUR_PARTITIONS, write_hour_table
 from hitledger.sources.tables import partition_globs, read_hour_stats
-from hitledger.workspace import Files, matching_paths
+from hitledger.workspace import Files, at_once, matching_paths
 
 #: Below the partials, where scans skip it: the fold under way, and the mark that it counts.
 FOLD, READY = "_fold", "_ready"
-PLAN = "d string, h string, epoch bigint, out_root string"
+PLAN = "folder string, out_root string"
 KEYS = ["hid", "d", "h", "destip", "destport", "domain", "proctype"]
 
-
 PARTIALS = (
     "hid int, destip string, destport string, domain string, proctype string, firsttime timestamp_ntz,"
     " activetime timestamp_ntz, times bigint, d string, h string, epoch bigint"
 )
 
 
-def start_hour_partials(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Partial ``ipportdomain`` statistics of every micro-batch of a log stream, by hour."""
+def start_hour_partials(log: DataFrame, path: str, checkpoint: str, by: Sequence[str] = ("d", "h")) -> StreamingQuery:
+    """Partial ``ipportdomain`` statistics of every micro-batch of a log stream, by hour (a thin stream: by day)."""
 
     def write_partials(rows: DataFrame, number: int) -> None:
         partials = rollup.merge(rollup.hits(rows), KEYS).withColumn("epoch", F.lit(number))
+        # Hours are brought together first: one file an hour and batch, not one a task.
         (
-            partials.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("d", "h", "epoch").parquet(path)
+            partials.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*by, "epoch").parquet(path)
         )
 
     return (
@@ -54,14 +60,21 @@ def read_hour_partials(
 
     With ``begin`` and ``end`` only the hours that touch them are listed and read.
     """
-    globs = [""]
+    globs, inside = [""], F.lit(True)
     if begin is not None and end is not None:
-        globs = partition_globs(parse_param(begin), parse_param(end), None, ["d", "h"])
+        begin, end = parse_param(begin), parse_param(end)
+        globs = partition_globs(begin, end, None, _levels(spark, path))
+        inside = F.concat("d", "h").between(f"{begin:%y%m%d%H}", f"{end:%y%m%d%H}")
     found = matching_paths(spark, [f"{path}/{glob}" if glob else path for glob in globs])
     if not found:
         return rollup.hour_ipportdomain(spark.createDataFrame([], PARTIALS))
     partials = spark.read.schema(PARTIALS).option("basePath", path).parquet(*found)
-    return rollup.hour_ipportdomain(partials.drop("epoch"))
+    return rollup.hour_ipportdomain(partials.where(inside).drop("epoch"))
+
+
+def _levels(spark: SparkSession, path: str) -> list[str]:
+    """The levels of the partials above ``epoch``."""
+    return [name for name in Files(spark, path).levels(path) if name != "epoch"] or ["d", "h"]
 
 
 def _finish_fold(spark: SparkSession, path: str) -> None:
@@ -69,31 +82,38 @@ def _finish_fold(spark: SparkSession, path: str) -> None:
     files, fold = Files(spark, path), f"{path}/{FOLD}"
     if files.exists(f"{fold}/{READY}"):
         plan = spark.read.schema(PLAN).parquet(f"{fold}/plan").collect()
-        write_hour_table(spark.read.parquet(f"{fold}/stats"), f"{plan[0].out_root}/ipportdomain")
-        for folder in plan:
-            files.remove(f"{path}/d={folder.d}/h={folder.h}/epoch={folder.epoch}")
+        write_hour_table(spark.read.parquet(f"{fold}/stats"), f"{plan[0].out_root}/ipportdomain", by=files.read_text(f"{fold}/by").split(","))
+        at_once([lambda f=f: files.remove(f"{path}/{f.folder}") for f in plan])
         files.remove(f"{fold}/{READY}")  # before the tables it speaks for
     files.remove(fold)
 
 
-def fold_hours(spark: SparkSession, path: str, out_root: str, begin: str | datetime, end: str | datetime) -> None:
-    """Partials of closed hours: merged into what the hour table holds, and out of the partials.
+def fold_hours(
+    spark: SparkSession, path: str, out_root: str, begin: str | datetime, end: str | datetime,
+    by: Sequence[str] = HOUR_PARTITIONS,
+) -> None:
+    """Partials of closed hours: merged into what the hour table (of levels ``by``) holds, and out of the partials.
 
-    Only hours that have partials are replaced, so folding again or after late rows keeps
+    Partials that were kept by day are folded by whole days between ``begin`` and ``end``. Only hours that have
+    partials are replaced, so folding again or after late rows keeps
     what was folded before. The merged hours are staged and marked before anything is
     replaced or deleted; a fold that stopped is finished by the next call, with the
     ``out_root`` it began with. No batch of the stream and no other fold may be under way.
     """
     begin, end = parse_param(begin), parse_param(end)
     _finish_fold(spark, path)
-    files, fold = Files(spark, path), f"{path}/{FOLD}"
-    globs = partition_globs(begin, end, None, ["d", "h"])
-    found = [folder for glob in globs for folder in files.glob(f"{path}/{glob}{'/*=*' * (3 - glob.count('='))}")]
+    files, fold, levels = Files(spark, path), f"{path}/{FOLD}", _levels(spark, path)
+    if "h" not in levels:
+        begin = begin if begin.hour == 0 else begin.replace(hour=0) + timedelta(days=1)
+        end = end if end.hour == 23 else end.replace(hour=23, minute=59) - timedelta(days=1)
+    globs = partition_globs(begin, end, None, levels)
+    found = [folder for glob in globs for folder in files.glob(f"{path}/{glob}{'/*=*' * (len(levels) + 1 - glob.count('='))}")]
     if not found:
         return
-    folders = [[level.split("=", 1)[1] for level in folder.rsplit("/", 3)[1:]] for folder in found]
-    plan = spark.createDataFrame([(d, h, int(epoch), out_root) for d, h, epoch in folders], PLAN)
+    start = len(files.qualified(path)) + 1
+    plan = spark.createDataFrame([(folder[start:], out_root) for folder in found], PLAN)
     plan.write.parquet(f"{fold}/plan")
+    files.write_text(f"{fold}/by", ",".join(by))
     new = read_hour_partials(spark, path, begin, end)
     old = read_hour_stats(spark, out_root, "ipportdomain", begin, end).alias("o").join(
         new.select(HOUR_PARTITIONS).distinct().alias("n"), F.expr(" and ".join(f"o.{c} <=> n.{c}" for c in HOUR_PARTITIONS)), "left_semi"
@@ -118,3 +138,22 @@ def closed_hours(log: DataFrame, delay: str = "2 hours") -> DataFrame:
         F.count(F.lit(1)).alias("times"),
     )
     return rollup.rendered(stats, [*KEYS, *rollup.MEASURES])
+
+
+def start_closed_hours(
+    log: DataFrame, out_root: str, checkpoint: str, delay: str = "2 hours", by: Sequence[str] = HOUR_PARTITIONS
+) -> StreamingQuery:
+    """Hours of a log stream into the ``ipportdomain`` hour table, each when it is closed.
+
+    All of an hour is emitted by one batch, so a batch that is retried replaces the hours it wrote. Open hours stay in
+    the state store below ``checkpoint``; a restart with the same checkpoint goes on with them.
+    ``spark.sql.streaming.stateStore.providerClass`` chooses where a large state is held.
+    """
+
+    def write_closed(rows: DataFrame, number: int) -> None:
+        write_hour_table(rows.select(HOUR_TABLES["ipportdomain"].names), f"{out_root}/ipportdomain", by=by)
+
+    return (
+        closed_hours(log, delay).writeStream.outputMode("append").foreachBatch(write_closed)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )

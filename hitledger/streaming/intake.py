@@ -4,6 +4,7 @@ The checkpoint remembers which files were taken. Files that turn up later, in a
 minute directory already taken, simply form a new batch. A batch that is retried
 replaces its own output, because its label ends with the batch number; it begins
 with the minute directory, so that a batch job over that directory replaces it.
+Files that such a job has read are left out (:mod:`hitledger.streaming.ledger`).
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hitledger.functions.times import epoch_text
+from hitledger.functions.times import instant_in
 from hitledger.operators.ingest import drop_late_by
 from hitledger.schema import PARTITION_COLUMNS
 from hitledger.sinks.log_table import publish
 from hitledger.sources.lines import parse_tolerant
+from hitledger.streaming.ledger import without_reprocessed
 
 
 # A file counts however much older it is than the newest one: restored files have old times.
@@ -52,14 +54,13 @@ def load_time_of(file_path: str = "file_path", modified: str = "modified", zone:
         minute.substr(1, 4), F.lit("-"), minute.substr(5, 2), F.lit("-"), minute.substr(7, 2), F.lit(" "),
         minute.substr(9, 2), F.lit(":"), minute.substr(11, 2), F.lit(":00"),
     )
-    file_time = epoch_text(F.unix_seconds(modified).cast("string"), zone)
-    return F.coalesce(text.try_cast("timestamp_ntz"), file_time.try_cast("timestamp_ntz"))
+    return F.coalesce(text.try_cast("timestamp_ntz"), instant_in(F.col(modified), zone))
 
 
 def fit_rows(lines: DataFrame, zone: str | None = None) -> DataFrame:
     """Parsed rows, late ones dropped against their own load time."""
-    with_load = lines.select("value", load_time_of(zone=zone).alias("load_time"), minute_of().alias("minute"))
-    parsed = parse_tolerant(with_load, "load_time", "minute", zone=zone)
+    with_load = lines.select("value", "file_path", load_time_of(zone=zone).alias("load_time"), minute_of().alias("minute"))
+    parsed = parse_tolerant(with_load, "file_path", "load_time", "minute", zone=zone)
     return drop_late_by(parsed, F.col("load_time")).drop("load_time")
 
 
@@ -79,9 +80,10 @@ def start_intake(
     """Take everything that is there, then stop; schedule it as often as needed."""
 
     def publish_batch(rows: DataFrame, number: int) -> None:
+        rows = without_reprocessed(rows, root, number)
         minute = F.when(F.col("minute") != "", F.col("minute")).otherwise(name)
         label = F.concat(minute, F.lit(f".{number:010d}"))
-        publish(rows.withColumn("batch", label).drop("minute"), root, by, balance)
+        publish(rows.withColumn("batch", label).drop("minute", "file_path"), root, by, balance)
 
     rows = fit_rows(line_stream(spark, glob, max_files, archive), zone)
     return (

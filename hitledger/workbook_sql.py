@@ -286,9 +286,10 @@ SQL: dict[str, str] = {
         ) + ")"
     ),
     "cells_unpivot": _raw(
-        "select cast(event_id as varchar) as rowkey, 'info' as family, 'ifParseNormal' as qualifier,"
-        " case when d > '0' then '1' else '0' end as value from rows"
-        " union all select cast(event_id as varchar), 'info', 'houseid', cast(hid as varchar) from rows"
+        " union all ".join(
+            f"select cast(event_id as varchar) as rowkey, 'info' as family, '{q}' as qualifier, {q} as value from rows"
+            for q in ("domain", "duration", "d")
+        )
     ),
     "compaction_size_classes": _files("select * from classes"),
     "compaction_class_plan": _files(
@@ -364,3 +365,46 @@ SQL["job_day_domain"] = f"select domain, sum(times)::bigint as times, topdomain
 SQL["job_search"] = _log(_search(f"hid in (1001, 1003) and destport = '443' and {_ip('srcip')} >= 167772169"))
 SQL["stream_intake_old_files"] = SQL["stream_intake"]
 SQL["stream_hour_folded"] = f"select * from ({SQL['stream_hour_ipportdomain']}) where d > '1'"
+SQL["ingest_sized"] = SQL["ingest_lateness"]
+SQL["stored_ip_range"] = SQL["search_time_ip_range"]
+SQL["stored_lookup"] = _log(
+    f"select {_SHOWN} from log where domain = 'site.cn' and destport = '443' union all"
+    f" select {_SHOWN} from log where plain_url = 'http://ththre.example.com/fr/825?page=2&ref=x'"
+)
+SQL["catalog_search"] = (
+    f"select *, unnest(['published', 'merged']) as state from ({_log(_search('destport = ' + repr('443')))})"
+)
+SQL["stream_closed_hours"] = _raw(
+    f"select {_HID}, d, h, destip, destport, domain, proctype, {_MEASURES} from rows where acctime > '1'"
+    " and date_trunc('hour', cast(acctime as timestamp)) + interval 1 hour"
+    " <= (select max(cast(acctime as timestamp)) - interval 2 hour from rows where acctime > '1')"
+    " group by hid, d, h, destip, destport, domain, proctype"
+)
+SQL["stream_cells_upsert"] = _raw(
+    "select f[2] as rowkey, 'info' as family, unnest(['domain', 'duration']) as qualifier, unnest(["
+    "max({'v': cast(f[10] as bigint), 'x': f[7]}).x, max({'v': cast(f[10] as bigint), 'x': f[9]}).x]) as value"
+    " from trimmed where len(f) = 10 and regexp_full_match(f[10], '\\d+') group by f[2]"
+)
+SQL["stream_then_reprocess"] = SQL["stream_intake"]
+SQL["merge_size_classes"] = _log(f"select {_ROW} from log")
+SQL["foreign_join"] = SQL["stat_hour_foreign_split"]
+SQL["dimension_files"] = _log(
+    f"select *, cast({_foreign('domain')} as int) as isforeign, {_TOP} as topdomain from ("
+    + _hour("domain", ", max(destip) as destip", f"{_CLEAN} and {_LEGAL}") + ")"
+)
+
+
+def _asked(number: str, domain: str, top: bool) -> str:
+    """Hits of the day in statistics (those of foreign domains are elsewhere), and lines that came that day."""
+    key = _TOP if top else "domain"
+    line_key = _top("f[7]") if top else "f[7]"
+    stats = f"select cast(case when count(*) > 0 then count(*) end as bigint) as times, 'stats' as source from log where {key} = '{domain}' and d = '240115' and {_CLEAN} and {_DOMESTIC}"
+    lines = f"select count(*) as times, 'lines' as source from (select string_split(rtrim(value, '|'), '|') as f, true_time from damaged) where len(f) = 10 and {line_key} = '{domain}' and substr(true_time, 1, 10) = '2024-01-15'"
+    return f"select '{number}' as \"batchID\", '{domain}' as domain, '{ASKED_AT}' as \"curSec\", times, source from ({stats} union all {lines})"
+
+
+SQL["domain_count_job"] = _raw(_asked("q1", "site.cn", False))
+SQL["answer_log_rerun"] = _raw(
+    "select concat_ws(chr(9), \"batchID\", domain, \"curSec\", coalesce(cast(times as varchar), 'null')) as value"
+    f" from ({_asked('q1', 'site.cn', False)} union all {_asked('q2', 'example.com', True)})"
+)

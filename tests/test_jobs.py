@@ -12,7 +12,7 @@ from hitledger.plans.hour import run_hour_stats, run_legal_hour_stats
 from hitledger.plans.lookup import fresh_globs, run_domain_count
 from hitledger.schema import DAY_COLUMNS
 from hitledger.operators.search import search
-from hitledger.sinks.delimited import append_answers, write_delimited, write_houses
+from hitledger.sinks.delimited import append_answers, read_answers, write_delimited, write_houses
 from hitledger.sinks.log_table import publish
 from hitledger.sources import demo, dimensions
 from hitledger.sources.tables import partition_globs, read_access_log, read_day_domains, read_hour_stats
@@ -148,7 +148,7 @@ def test_domain_count_job(spark, hours, tmp_path):
     assert ask(domain="nowhere.com", n_fields=9) == {"stats": None, "lines": 0}
     run_day_stats(spark, f"{root}/hour", f"{root}/day2", "20240110")
     assert ask(granularity="day", stats=f"{root}/day2") == {"stats": n, "lines": 1}
-    log = spark.read.option("lineSep", "\r\n").text(f"{tmp_path}/answers")
+    log = read_answers(spark, f"{tmp_path}/answers")
     assert log.count() == 10
     assert log.where(F.col("value") == f"2024-01-10 13:05:00\tsite.cn\t2024-01-10 13:05:00\t{n}").count() == 4
 
@@ -180,7 +180,12 @@ def test_answers_append(spark, tmp_path):
     answer = spark.createDataFrame([("b", "d", "t", None)], "batchID string, domain string, curSec string, times bigint")
     for _ in range(2):
         append_answers(answer, f"{tmp_path}/log")
-    assert [r.value for r in spark.read.option("lineSep", "\r\n").text(f"{tmp_path}/log").collect()] == ["b\td\tt\tnull"] * 2
+    assert [r.value for r in read_answers(spark, f"{tmp_path}/log").collect()] == ["b\td\tt\tnull"] * 2
+    for _ in range(2):  # a question asked again replaces its lines
+        append_answers(answer, f"{tmp_path}/log", "a/b c:*")
+    append_answers(answer, f"{tmp_path}/log", "other")
+    assert read_answers(spark, f"{tmp_path}/log").count() == 4
+    assert read_answers(spark, f"{tmp_path}/none").count() == 0
 
 
 def test_stage_dir_needs_a_shared_folder(spark):
