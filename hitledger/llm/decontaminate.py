@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.stages import Stages
+from hitledger.llm.stages import Stages, adds, keeps
 from hitledger.llm.textbytes import NOT_WORD, byte_table, pieces, tidy, utf8_column, window_hashes, word_hashes, word_spans
 
 WINDOW = 10
@@ -95,13 +95,14 @@ def benchmark_parts(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
         yield [(r.item_id, r.text) for r in sized.where(part == k).select("item_id", "text").collect()]
 
 
+@adds("n_words", "n_hit", "hit_spans", "hit_items")
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with what test items they hold.
 
     Adds ``n_words`` long, ``n_hit`` long, ``hit_spans`` (array of start and end
     bytes of runs of hit words, ends exclusive, in the UTF-8 text) and
     ``hit_items`` (item ids as strings, sorted, distinct). ``docs`` needs a
-    column text and must not have columns of these four names; ``benchmark``
+    column text; its columns of these four names give way. ``benchmark``
     needs item_id and text.
 
     Words are runs of characters that are no ASCII mark or blank, A-Z counting as
@@ -165,11 +166,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     return found
 
 
+@keeps("n_words", "n_hit", "hit_spans", "hit_items")
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without documents that hold a window of a test item; columns as they were."""
     return contamination(docs, benchmark, window).where("n_hit = 0").select(docs.columns)
 
 
+@keeps("n_words", "n_hit", "hit_spans", "hit_items")
 def cut_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the hit words cut out of the text, from the first byte of a run of them to its last."""
     found = contamination(docs, benchmark, window)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitledger.llm.stages import adds, keeps
 from hitledger.llm.textbytes import pieces, tidy
 
 #: Bytes of a window.
@@ -185,11 +186,11 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
     return train([t for _, t in found], [x for x, _ in found]) if found else None
 
 
+@adds("lang_pred", "score")
 def languages(docs: DataFrame, net: Network | None) -> DataFrame:
     """``docs`` with lang_pred string and score double.
 
-    ``docs`` needs text and must not have columns of these names; nothing but
-    text is looked at. All windows of a text are rated, and their probabilities
+    ``docs`` needs text; nothing but text is looked at. A column of ``docs`` with one of these names gives way to it. All windows of a text are rated, and their probabilities
     averaged by the bytes they hold; score is the average of the language
     predicted. A text that is null or has no letter, and any text without a
     network, is ``und`` with score 0. Repeated rows get the same prediction.
@@ -235,6 +236,7 @@ def fold(doc_id: str) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4))
 
 
+@keeps("lang_pred", "score")
 def keep_known(docs: DataFrame, net: Network | None, least: float = 0.4) -> DataFrame:
     """``docs`` without those of no language or of a score below ``least``; columns as they were."""
     return languages(docs, net).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(docs.columns)

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.stages import Stages, maybe_broadcast
+from hitledger.llm.stages import Stages, adds, maybe_broadcast
 
 #: Leaves up to this number may be broadcast.
 BROADCAST_LEAVES = 200_000
@@ -86,11 +86,12 @@ def dropped_lines(docs: DataFrame, parse: Parse = Parse()) -> DataFrame:
     return with_template.join(recurring, "template", "left_semi").select("doc_id", "at")
 
 
+@adds("n_lines", "n_dropped", hidden=("_gone",))
 def drop_template_lines(docs: DataFrame, parse: Parse = Parse()) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of text, and n_lines and n_dropped.
 
-    ``docs`` needs doc_id long and text and must not have columns of the two new
-    names. A template recurs if ``parse.min_docs`` documents have lines of it.
+    ``docs`` needs doc_id long and text; its columns of the two new
+    names give way. A template recurs if ``parse.min_docs`` documents have lines of it.
     Lines end at line feeds; lines without a token are never dropped; a null text
     stays null with 0 lines, an empty one has one line. Rows that repeat a doc_id are one document: a place
     dropped in one of them is dropped in all. Rows without doc_id keep their lines.

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitledger.llm.stages import adds, keeps
+
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
@@ -132,10 +134,11 @@ def entropy_spans(text: Column, entropy: Entropy) -> Column:
     return F.filter(_spans(text, pattern, KINDS.index("entropy")), secret)
 
 
+@adds("base_spans", "spans", hidden=("_more",))
 def secret_spans(docs: DataFrame, entropy: Entropy = Entropy()) -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans``: arrays of (start, kind, end), kind a place in ``KINDS``.
 
-    ``docs`` needs text and must not have columns of these names. Spans count
+    ``docs`` needs text; its columns of these names give way. Spans count
     code points, ends exclusive, and are in order of start, then kind.
     ``base_spans`` are the known forms, of each kind the leftmost ones that do
     not overlap; ``spans`` has those and the entropy spans that overlap none of
@@ -155,6 +158,7 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+@keeps("base_spans", "spans")
 def redact(docs: DataFrame, entropy: Entropy = Entropy(), mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret's characters replaced by ``mark``; overlapping spans become one."""
     found = secret_spans(docs, entropy)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,51 @@ def fits(frame: DataFrame, rows: int) -> bool:
 def maybe_broadcast(frame: DataFrame, rows: int) -> DataFrame:
     """``frame``, marked for broadcast if it was counted to be within ``rows``; else Spark joins by shuffle."""
     return F.broadcast(frame) if fits(frame, rows) else frame
+
+
+def _aside(rows: DataFrame, names: tuple[str, ...]) -> dict[str, str]:
+    """Other names for columns that are called like one of ``names``, in any case."""
+    own, taken = {n.lower() for n in names}, {c.lower() for c in rows.columns}
+    found: dict[str, str] = {}
+    for column in rows.columns:
+        if column.lower() in own:
+            other = f"{column}__own"
+            while other.lower() in taken:
+                other += "_"
+            taken.add(other.lower())
+            found[column] = other
+    return found
+
+
+def adds(*results: str, hidden: tuple[str, ...] = ()) -> Callable:
+    """For an operator on rows that adds ``results``: a caller's column of such a name gives way to the result's.
+
+    ``hidden`` are names the operator uses on the way; a caller's column called like one keeps its name and values.
+    """
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operator)
+        def run(rows: DataFrame, *args, **options) -> DataFrame:
+            rows = rows.drop(*_aside(rows, results))
+            aside = _aside(rows, hidden)
+            found = operator(rows.withColumnsRenamed(aside), *args, **options)
+            return found.withColumnsRenamed({new: old for old, new in aside.items()})
+
+        return run
+
+    return wrap
+
+
+def keeps(*names: str) -> Callable:
+    """For an operator that returns the caller's columns: those called like ``names``, which it uses on the way, keep name and values."""
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operator)
+        def run(rows: DataFrame, *args, **options) -> DataFrame:
+            aside = _aside(rows, names)
+            found = operator(rows.withColumnsRenamed(aside), *args, **options)
+            return found.withColumnsRenamed({new: old for old, new in aside.items()})
+
+        return run
+
+    return wrap

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.stages import Stages, maybe_broadcast
+from hitledger.llm.stages import Stages, adds, maybe_broadcast
 
 #: Segments below this depth are one tail.
 DEPTH = 4
@@ -125,10 +125,11 @@ def templates(stages: Stages, shapes: DataFrame, tree: Tree) -> DataFrame:
     return rows
 
 
+@adds("host", "path", "rule", "verdict", "template", "purity", hidden=("_ruled", "_shape"))
 def judge(pages: DataFrame, rules: Sequence[Rule], tree: Tree = Tree()) -> DataFrame:
     """``pages`` with host, path, rule, verdict (``block`` or ``allow``), template and purity.
 
-    ``pages`` needs url; its columns must not have these names. A url that is null or
+    ``pages`` needs url; its columns of these names give way. A url that is null or
     without ``://`` has an empty host and path and is judged like any other (no
     rule fits it). Repeated rows get the same verdict; templates are learned from
     all rows. Without a rule, a page is blocked if (blocked + prior) /
