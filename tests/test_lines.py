@@ -58,3 +58,21 @@ def test_text_paths(spark, tmp_path):
         (tmp_path / name / "f.txt").write_text(GOOD + "\n")
     assert lines.read_lines(spark, f"{tmp_path}/a,{tmp_path}/[bc]/*").count() == 3
     assert lines.read_lines(spark, [f"{tmp_path}/*/f.txt"]).where(F.col("value") == GOOD).count() == 3
+
+
+def _largest_method(df):
+    """Bytes of the largest generated method of all stages; 0 if a stage was not compiled."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    return max(sizes) if min(sizes) > 0 else 0
+
+
+def test_parsing_and_lateness_are_compiled(spark, lines_of):
+    """No stage falls back to the interpreter: generated methods stay within what the JVM compiles."""
+    from hitledger.streaming.intake import fit_rows
+
+    batch = ingest_rows(lines_of(GOOD), "202401151100", "b", "UTC")
+    files = lines_of(GOOD).withColumns({"file_path": F.lit("file:/in/202401151200/f"), "modified": F.current_timestamp()})
+    for frame in (batch, fit_rows(files, "UTC"), fit_rows(files), fit_rows(files, "Asia/Shanghai")):
+        assert 0 < _largest_method(frame) < 8000
+        assert frame.count() == (1 if frame is batch else frame.count())
