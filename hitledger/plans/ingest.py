@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from hitledger.operators.compaction import ingest_parallelism
 from hitledger.operators.ingest import ingest_rows, sized
 from hitledger.schema import PARTITION_COLUMNS
-from hitledger.sinks.log_table import append, publish, register_batch
+from hitledger.sinks.log_table import append, drop_partitions, publish, register_batch
 from hitledger.sources.lines import parse_tolerant, read_lines
 from hitledger.sources.tables import MERGED_BATCHES, list_input
 from hitledger.streaming.ledger import REPROCESSED, note
@@ -30,7 +31,7 @@ def run_ingest(
 
     Rows that the stream took from a minute directory of this name are replaced
     too, and the files read are noted, so that the stream does not bring them later. A batch that was merged with others is refused, since its rows cannot be
-    told any more. With ``table``, the partitions written are registered there.
+    told any more. With ``table``, the partitions written are registered there and replaced ones dropped.
     """
     files = Files(spark, root)
     if files.exists(f"{root}/{MERGED_BATCHES}"):
@@ -41,7 +42,7 @@ def run_ingest(
     # The files as they lie there now: exactly these are read and noted.
     taken = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(input_path.split(",")).select("_metadata.file_path")
     paths = [row.file_path for row in taken.collect()]
-    lines = read_lines(spark, paths) if paths else spark.createDataFrame([], "value string")
+    lines = read_lines(spark, [unquote(path) for path in paths]) if paths else spark.createDataFrame([], "value string")
     rows = ingest_rows(lines, load_time, batch_id, zone)
     if task_mb is not None:
         tasks = ingest_parallelism(list_input(spark, input_path), task_mb)
@@ -49,11 +50,13 @@ def run_ingest(
     publish(rows, root, by, balance=balance)
     levels = "/".join("*=*" for _ in by)
     if paths:
-        entries = taken.where(F.col("file_path").isin(paths)) if len(paths) < 1000 else taken
+        entries = spark.createDataFrame([(path,) for path in paths], "file_path string")
         note(entries.select(F.lit(batch_id).alias("minute"), "file_path", F.lit(batch_id).alias("batch"), F.lit(REPROCESSED).alias("state")), root)
     streamed = files.glob(f"{root}/{levels}/batch={batch_id}.*")
     at_once([lambda folder=folder: files.remove(folder) for folder in streamed])
     if table is not None:
+        start = len(files.qualified(root)) + 1
+        drop_partitions(spark, table, [folder[start:] for folder in streamed])
         register_batch(spark, table, root, batch_id)
 
 

@@ -201,7 +201,7 @@ def test_append_by_other_levels(spark, tmp_path):
 
 def test_files_a_job_has_read_are_skipped(spark, tmp_path):
     def drop(minute, name, *ports):
-        folder = tmp_path / "in" / minute
+        folder = tmp_path / "in" / f"{minute} x%20y"  # an odd name
         folder.mkdir(parents=True, exist_ok=True)
         second = int(datetime.fromisoformat("2024-01-01T12:00:00+00:00").timestamp())
         (folder / name).write_text("".join(f"1001|10.0.0.1|203.0.113.9|1|{p}|80|a.com|aHR0cA==|3|{second}\n" for p in ports))
@@ -214,14 +214,18 @@ def test_files_a_job_has_read_are_skipped(spark, tmp_path):
     drop("202401011205", "x", 8)
     assert stream() == ["1", "2", "8"]
     drop("202401011200", "b", 3)  # the stream has not come to it
-    run_ingest(spark, f"{tmp_path}/in/202401011200", f"{tmp_path}/log", "202401011200", "202401011200", "UTC", by=["d"])
+    run_ingest(spark, f"{tmp_path}/in/202401011200 x%20y", f"{tmp_path}/log", "202401011200", "202401011200", "UTC", by=["d"])
     drop("202401011200", "c", 4)  # late
     drop("202401011205", "y", 9)
     assert stream() == ["1", "2", "3", "4", "8", "9"]
     noted = {(r.state, r.file_path.rsplit("/", 1)[1]) for r in read_ledger(spark, f"{tmp_path}/log").collect()}
     assert noted == {("reprocessed", "a"), ("reprocessed", "b"), ("skipped", "b"), ("reopened", "c")}
-    run_ingest(spark, f"{tmp_path}/in/202401011200", f"{tmp_path}/log", "202401011200", "202401011200", "UTC", by=["d"])
+    create_log_table(spark, "reprocessed", f"{tmp_path}/log", ["d"])
+    sync_partitions(spark, "reprocessed", f"{tmp_path}/log")
+    run_ingest(spark, f"{tmp_path}/in/202401011200 x%20y", f"{tmp_path}/log", "202401011200", "202401011200", "UTC", by=["d"], table="reprocessed")
     assert stream() == ["1", "2", "3", "4", "8", "9"]
+    assert known_partitions(spark, "reprocessed") == stored_partitions(spark, f"{tmp_path}/log")
+    spark.sql("drop table reprocessed")
 
 
 # ---- long lists
