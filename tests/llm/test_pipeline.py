@@ -79,7 +79,8 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+# test_fill_middle.py compares op12: pandas has two kinds of whole numbers with nulls.
+@pytest.mark.parametrize("name", sorted(SQL.keys() - {"op12_fill_in_middle"}))
 def test_query_against_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF).toPandas(), con.execute(SQL[name]).df()) == ""
 
