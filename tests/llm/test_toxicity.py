@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from hitledger.llm.language_id import fold
 from hitledger.llm.queries import op11_toxicity_cnn
-from hitledger.llm.toxicity import FILTERS, KEPT, WIDTHS, _best_threshold, _joined, _pool, fit, raw_scores, toxicity, word_features
+from hitledger.llm.toxicity import BUCKETS, FILTERS, KEPT, WIDTHS, _best_threshold, _joined, _pool, bucket_counts, fit, raw_scores, toxicity, word_features
 
 SF01 = "/root/testdata/sf0.1"
 
@@ -106,3 +106,42 @@ def test_tasks_stay_small(model):
 
     raw_scores(model, *_joined([b"some words " * 100_000]))
     assert len(cloudpickle.dumps(raw_scores)) < 200_000
+
+
+LABELLED = "doc_id long, text string, lang string, toxic int"
+
+
+def test_whole_texts_teach(spark):
+    """The only word that tells is the last one of long texts."""
+    long = "some words of no weight " * 500
+    frame = spark.createDataFrame([(i, long + (" moron" if i % 2 else " house"), "en", i % 2) for i in range(24)], LABELLED)
+    short = spark.createDataFrame([(1, "moron", "en"), (0, "house", "en")], "doc_id long, text string, lang string")
+    scores = {r.doc_id: r.score for r in toxicity(short, fit(frame, frame)).collect()}
+    assert scores[1] > 0.5 > scores[0]
+
+
+def test_all_rows_teach(spark):
+    """Words that are met in six rows only, of more rows than one task learns."""
+    rows = [(i, f"{'xyzuvw'[i % 6]}{i // 36:05d}".translate(str.maketrans("0123456789", "abcdefghij")) + f" plain words {'bad' if i % 2 else 'good'}", "en", i % 2) for i in range(18_000)]
+    frame = spark.createDataFrame(rows, LABELLED)
+    learned = frame.repartition(6)
+    met = bucket_counts(learned.select("text", "toxic"))
+    features, first = word_features(*_joined([r[1].encode() for r in rows]))
+    want = np.zeros((BUCKETS, 2), int)
+    for a, b, r in zip(first[:-1], first[1:], rows):
+        want[np.unique(features[a:b]), r[3]] += 1
+    assert np.array_equal(met, want)
+    model = fit(learned, frame)
+    scores = {y: [r.score for r in toxicity(frame.where(F.col("toxic") == y), model).collect()] for y in (0, 1)}
+    assert min(scores[1]) > 0.5 > max(scores[0])
+    # Only words of three rows and more have a vector.
+    words = word_features(*_joined([b" ".join(r[1].split()[0].encode() for r in rows)]))[0][:, 0]
+    assert (model["e"][words].any(1)).mean() > 0.9
+
+
+def test_rounds_of_many_tasks(spark, docs, labels, monkeypatch):
+    monkeypatch.setattr("hitledger.llm.toxicity.ALONE_ROWS", 500)
+    model = fit(docs, labels.where(fold("doc_id") != 2))
+    found = toxicity(docs, model).join(labels.where(fold("doc_id") == 2).select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
+    positive, negative = ([r.score for r in found if r.label == y] for y in (1, 0))
+    assert np.mean(np.array(positive) >= 0.3) > 0.9 and np.mean(np.array(negative) >= 0.3) < 0.02
