@@ -46,7 +46,7 @@ def run_ingest(
     rows = ingest_rows(lines, load_time, batch_id, zone)
     if task_mb is not None:
         tasks = ingest_parallelism(list_input(spark, input_path), task_mb)
-        rows, balance = sized(rows, tasks.where("hid <> ''"), load_time), False
+        rows, balance = sized(rows, tasks.where("hid <> ''"), load_time, by=by), False
     publish(rows, root, by, balance=balance)
     levels = "/".join("*=*" for _ in by)
     if paths:

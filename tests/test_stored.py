@@ -179,6 +179,19 @@ def test_files_follow_the_counts(spark, tmp_path):
     assert {r["count"] for r in counts} == {750}  # a hot house is dealt evenly
 
 
+def test_a_task_writes_one_directory(spark, tmp_path):
+    """Six days of one house: its four tasks for earlier hours do not write a file of each day."""
+    rows = [line for day in range(6) for line in _lines(spark, 400, 1001, 30 + 24 * day)]
+    spark.createDataFrame(rows, "value string").coalesce(2).write.text(f"{tmp_path}/in/1001")
+    spark.createDataFrame(_lines(spark, 30, 7, 30), "value string").coalesce(1).write.text(f"{tmp_path}/in/other")
+    size = list_input(spark, f"{tmp_path}/in").where("hid = '1001'").agg(F.sum("file_size")).scalar()
+    root = stage_dir(spark, "days")
+    run_ingest(spark, f"{tmp_path}/in", root, "b", "202401010100", zone="UTC", by=["hid", "d"], task_mb=size / 8 / compaction.MB)
+    assert read_access_log(spark, root).count() == 2430
+    files = list_files(spark, root).where("hid = '1001'").groupBy("d").count().collect()
+    assert len(files) == 6 and {r["count"] for r in files} == {1}
+
+
 def test_unknown_houses_are_written_too(spark):
     rows = demo.access_log(spark, SF).withColumn("batch", F.lit("b"))
     tasks = spark.createDataFrame([("1001", 3, 1)], "hid string, current_hour int, previous_hour int")
