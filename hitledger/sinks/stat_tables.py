@@ -16,6 +16,8 @@ from hitledger.sources.tables import partition_globs, scan_stats
 from hitledger.workspace import Files
 
 HOUR_PARTITIONS = ["hid", "d", "h"]
+#: Directories that are listed one by one when hours are put into them.
+MOST_TOUCHED = 1_000
 
 
 @dataclass(frozen=True)
@@ -59,11 +61,19 @@ def _with_kept(stats: DataFrame, stored: DataFrame, hours: Hours | None, levels:
     return stats.unionByName(kept.select([F.col(c).cast(t).alias(c) for c, t in stats.dtypes]))
 
 
+def _touched(stats: DataFrame, levels: Sequence[str]) -> list[str]:
+    """The directories that ``stats`` goes to; the whole table if they are many or have odd names."""
+    found = stats.select([F.col(c).cast("string") for c in levels]).distinct().take(MOST_TOUCHED + 1)
+    if not 0 < len(found) <= MOST_TOUCHED or not all(value and value.isalnum() for row in found for value in row):
+        return [""]
+    return ["/".join(f"{level}={value}" for level, value in zip(levels, row)) for row in found]
+
+
 def _replace_hours(stats: DataFrame, path: str, table: str, hours: Hours | None, by: Sequence[str] | None, save):
     spark = stats.sparkSession
     levels = table_levels(spark, path, by)
     if set(levels) < set(HOUR_PARTITIONS) and (hours is None or hours.cut(levels)):
-        globs = [""] if hours is None else hours.globs(levels)
+        globs = _touched(stats, levels) if hours is None else hours.globs(levels)
         stats = _with_kept(stats, scan_stats(spark, path, table, globs, levels), hours, levels)
     stale = None if hours is None else hours.globs(levels)
     return replace_partitions(spark, path, lambda folder: save(stats.hint("rebalance", *levels), folder, levels), stale, len(levels))

@@ -23,7 +23,7 @@ from hitledger.operators import rollup
 from hitledger.schema import HOUR_TABLES
 from hitledger.sinks.stat_tables import HOUR_PARTITIONS, write_hour_table
 from hitledger.sources.tables import partition_globs, read_hour_stats
-from hitledger.workspace import Files, at_once, matching_paths
+from hitledger.workspace import Files, at_once, matching_paths, stage_dir
 
 #: Below the partials, where scans skip it: the fold under way, and the mark that it counts.
 FOLD, READY = "_fold", "_ready"
@@ -150,8 +150,15 @@ def start_closed_hours(
     ``spark.sql.streaming.stateStore.providerClass`` chooses where a large state is held.
     """
 
+    spark, stages = log.sparkSession, stage_dir(log.sparkSession, "closed-hours")
+
     def write_closed(rows: DataFrame, number: int) -> None:
-        write_hour_table(rows.select(HOUR_TABLES["ipportdomain"].names), f"{out_root}/ipportdomain", by=by)
+        # Staged once: the table's writer goes over the hours more than once, and each time the batch would be parsed and
+        # its state computed anew. Read in the caller's session, where rows are rebalanced; a stream's own session does not.
+        staged = f"{stages}/{number}"
+        rows.select(HOUR_TABLES["ipportdomain"].names).write.mode("overwrite").parquet(staged)
+        write_hour_table(spark.read.schema(rows.select(HOUR_TABLES["ipportdomain"].names).schema).parquet(staged), f"{out_root}/ipportdomain", by=by)
+        Files(spark, stages).remove(staged)
 
     return (
         closed_hours(log, delay).writeStream.outputMode("append").foreachBatch(write_closed)

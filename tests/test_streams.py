@@ -237,6 +237,27 @@ def test_closed_hours_go_on_after_a_restart(spark, tmp_path):
     assert run("3", 30, 9 * 3600) == {("240101", "12"): 3, ("240101", "13"): 1, ("240101", "15"): 1}  # a late row is dropped
 
 
+def test_closed_hours_are_few_files(spark, tmp_path):
+    """A batch is computed once, and a directory gets one file however many tasks the state has."""
+    demo.raw_lines(spark, SF).select("value").repartition(6).write.text(f"{tmp_path}/in/x")
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    source = intake.line_stream(spark, f"{tmp_path}/in/*").select("value").mapInArrow(seen, "value string")
+    stream = lines.parse_tolerant(source, zone="UTC")
+    hourly.start_closed_hours(stream, f"{tmp_path}/hours", f"{tmp_path}/cp", by=["hid", "d"]).awaitTermination()
+    assert evaluated.value == demo.raw_lines(spark, SF).count()
+    folders = [files for _, _, files in os.walk(tmp_path / "hours") if any(f.endswith(".orc") for f in files)]
+    assert len(folders) > 10 and all(sum(f.endswith(".orc") for f in files) == 1 for files in folders)
+    closed = bag(read_hour_stats(spark, f"{tmp_path}/hours", "ipportdomain"))
+    everything = bag(rollup.hour_ipportdomain(rollup.hits(demo.access_log(spark, SF))))
+    assert sum(closed.values()) > 0.9 * sum(everything.values()) and not closed - everything
+
+
 def test_partials_are_few_files(spark, tmp_path):
     source = demo.raw_lines(spark, SF).select("value").repartition(6)
     source.write.text(f"{tmp_path}/in/x/y")
