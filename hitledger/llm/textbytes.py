@@ -25,6 +25,9 @@ MIX_2 = 0x94D049BB133111EB
 #: Bytes of rows that Spark hands a Python worker at once (a longer row alone).
 BATCH_BYTES = 8 << 20
 
+#: Where a worker keeps hash powers while a task runs.
+KEPT_POWERS = "_hitledger_powers"
+
 Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -42,6 +45,7 @@ def tidy(spark: SparkSession, rows: Rows) -> Rows:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(batches)
+        sys.modules.pop(KEPT_POWERS, None)  # quickly made again
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
         if trim is not None:
@@ -110,7 +114,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of BASE and of its inverse, modulo 2**64; they are kept outside of what tasks are pickled with."""
-    kept = sys.modules.setdefault("_hitledger_powers", types.ModuleType("_hitledger_powers"))
+    kept = sys.modules.setdefault(KEPT_POWERS, types.ModuleType(KEPT_POWERS))
     if len(getattr(kept, "up", ())) < n:
         size = max(n, 2 * len(getattr(kept, "up", ())))
         kept.up, kept.down = (

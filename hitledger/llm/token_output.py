@@ -7,6 +7,7 @@ that a reader takes only the rows, pages and columns it asks for.
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 import types
@@ -161,6 +162,7 @@ def _worker_encoder(path: str) -> PieceEncoder:
     name = "_hitledger_worker_encoders"
     kept = sys.modules.setdefault(name, types.ModuleType(name))
     if getattr(kept, "path", None) != path:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one text at a time; threads would hold memory of their own
         from tokenizers import Tokenizer
 
         kept.path, kept.encoder = path, PieceEncoder(Tokenizer.from_file(path))
